@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm import packing, secrets, url_filter
+from touchline.llm import decontaminate, html_extract, html_training, near_dedup, packing, quality, secrets, toxicity, url_filter
 from touchline.llm.common import table
 
 
@@ -45,6 +45,33 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    chain = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, chain).withColumn("toxic", F.col("p_toxic") >= 0.5)
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    most = {0: quality.TRAIN_ROWS, 1: quality.TRAIN_ROWS}
+    learn = toxicity.labelled_sample(docs, table(spark, sf_dir, "labels"), "quality", most, "crc32(cast(doc_id as string)) % 5 <> 0")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    scored = quality.score(docs, quality.train(learn))
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"), html_extract.train(html_training.labelled_pages()))
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.token_pieces(table(spark, sf_dir, "documents"), tokenizer_path()))
 
@@ -56,6 +83,11 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_secret_scan": op2_secret_scan,
+    "op4_order_minhash": op4_order_minhash,
+    "op5_decontamination": op5_decontamination,
+    "op6_toxicity": op6_toxicity,
+    "op7_quality": op7_quality,
+    "op8_html_extraction": op8_html_extraction,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_url_filter": op10_url_filter,
 }
