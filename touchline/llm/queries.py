@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm import decontaminate, html_extract, html_training, near_dedup, packing, quality, secrets, toxicity, url_filter
+from touchline.llm import decontaminate, embedding_dedup, html_extract, html_training, near_dedup, packing, quality, secrets, toxicity, url_filter
 from touchline.llm.common import table
 
 
@@ -45,6 +45,10 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_sorted_projections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op4_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -83,6 +87,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_secret_scan": op2_secret_scan,
+    "op3_sorted_projections": op3_sorted_projections,
     "op4_order_minhash": op4_order_minhash,
     "op5_decontamination": op5_decontamination,
     "op6_toxicity": op6_toxicity,
