@@ -149,7 +149,7 @@ def sorted_pass_edges(units: DataFrame, n: int, dim: int, cosine: float = COSINE
             old = len(ids)
             ids = np.concatenate((ids, batch["vec_id"].to_numpy(dtype=np.int64)))
             x = np.vstack((x, _stack(cells)))
-            if len(head) < window:
+            if own and len(head) < window:
                 head += [(int(v), 0, own - 1, 1, len(head) + k, c) for k, (v, c) in enumerate(zip(ids[old:].tolist(), cells, strict=True)) if len(head) + k < window]
             i, j = _window_pairs(x, old, window, cosine)
             yield pd.DataFrame([(a, b, -1, 0, 0, None) for a, b in _forest(ids, i, j)], columns=["a", "b", "border", "side", "place", "unit"])
