@@ -246,3 +246,9 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, max_rounds:
     return joined.select(
         "doc_id", "exact_id", F.coalesce("component", "exact_id").alias("class_id"), (F.col("doc_id") == F.coalesce("component", "exact_id")).alias("kept")
     )
+
+
+def keep_one(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """The rows of ``docs`` without the documents of a group other than its first; all columns as they are."""
+    dropped = near_duplicates(docs, similarity).filter("not kept").select("doc_id").distinct()
+    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm import decontaminate, embedding_dedup, html_extract, html_training, near_dedup, packing, quality, secrets, toxicity, url_filter
+from touchline.llm import decontaminate, embedding_dedup, html_extract, html_training, near_dedup, packing, quality, secrets, suffix_dedup, toxicity, url_filter
 from touchline.llm.common import table
 
 
@@ -27,6 +27,10 @@ URL_RULES = (
 )
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     versions = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("path"), "text")
     found, _ = secrets.scan_versions(versions)
@@ -86,6 +90,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_secret_scan": op2_secret_scan,
     "op3_sorted_projections": op3_sorted_projections,
     "op4_order_minhash": op4_order_minhash,

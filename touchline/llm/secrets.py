@@ -178,3 +178,21 @@ def redact(text: Column, findings: Column, mark: str = "[secret]") -> Column:
         lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))),
     )
     return F.when(F.size(findings) == 0, text).otherwise(walked)
+
+
+def redact_documents(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mark: str = "[secret]") -> DataFrame:
+    """``docs`` with every finding in ``text`` replaced, and ``n_chars``, if there, counted again.
+
+    Each blob is scanned once; its findings go back to all its rows over salted keys. A text
+    without findings stays as it is, null included.
+    """
+    rows = docs.withColumn("_blob", blob_id(F.col("text")))
+    blobs = rows.select("_blob", F.coalesce("text", F.lit("")).alias("text")).groupBy("_blob").agg(F.first("text").alias("text"))
+    hits = scan_blobs(blobs.withColumnRenamed("_blob", "blob"), rules).filter(F.size("findings") > 0)
+    hits = hits.select(F.col("blob").alias("_blob"), F.col("findings").alias("_findings"))
+    joined = salted_join(rows, hits, "_blob", [F.col("doc_id")], "left")
+    found = F.coalesce("_findings", F.array().cast(f"array<{FINDING}>"))
+    changed = joined.withColumn("text", redact(F.col("text"), found, mark))
+    if "n_chars" in docs.columns:
+        changed = changed.withColumn("n_chars", F.when(F.size(found) > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
+    return changed.select(*docs.columns)

@@ -141,6 +141,30 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, column: str, most: dict[
     return [unique[k] for k in sorted(unique, key=lambda k: (k * 2654435761) % (1 << 32))]
 
 
+class Reader:
+    """Probabilities of texts; the features of a word are looked up once and reused."""
+
+    def __init__(self, chain: Chain, keep: int = 300_000):
+        self.chain, self.keep = chain, keep
+        self.known: dict[str, tuple[int, ...]] = {}
+
+    def features(self, text: str | None) -> set[int]:
+        known, vocabulary = self.known, self.chain.vocabulary
+        if len(known) > self.keep:
+            known.clear()
+        found: set[int] = set()
+        for w in words_of(text):
+            hit = known.get(w)
+            if hit is None:
+                hit = known[w] = tuple(vocabulary[f] for f in features_of(w) if f in vocabulary)
+            if hit:
+                found.update(hit)
+        return found
+
+    def probabilities(self, texts: list[str | None]) -> np.ndarray:
+        return self.chain.predict(self.chain.matrix([self.features(t) for t in texts]))
+
+
 def score(docs: DataFrame, chain: Chain, id_column: str = "doc_id") -> DataFrame:
     """(doc_id, one probability per category) for every row of ``docs``."""
     spark = docs.sparkSession
@@ -148,22 +172,9 @@ def score(docs: DataFrame, chain: Chain, id_column: str = "doc_id") -> DataFrame
     columns = [f"p_{c}" for c in CATEGORIES]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model = shared.value
-        known: dict[str, tuple[int, ...]] = {}
+        reader = Reader(shared.value)
         for batch in batches:
-            sets = []
-            for text in batch["text"].tolist():
-                found: set[int] = set()
-                for w in words_of(text):
-                    hit = known.get(w)
-                    if hit is None:
-                        if len(known) > 500_000:
-                            known.clear()
-                        hit = known[w] = tuple(model.vocabulary[f] for f in features_of(w) if f in model.vocabulary)
-                    if hit:
-                        found.update(hit)
-                sets.append(found)
-            p = model.predict(model.matrix(sets))
+            p = reader.probabilities(batch["text"].tolist())
             yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64")} | {c: p[:, i] for i, c in enumerate(columns)})
 
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), "text")
@@ -180,9 +191,8 @@ def keep_clean(docs: DataFrame, chain: Chain, threshold: float = 0.5) -> DataFra
 
     @F.pandas_udf("double")
     def toxic(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        model = shared.value
+        reader = Reader(shared.value)
         for texts in batches:
-            sets = [{model.vocabulary[f] for w in words_of(t) for f in features_of(w) if f in model.vocabulary} for t in texts]
-            yield pd.Series(model.predict(model.matrix(sets))[:, -1])
+            yield pd.Series(reader.probabilities(texts.tolist())[:, -1])
 
     return docs.filter(toxic(F.col("text")) < threshold)
