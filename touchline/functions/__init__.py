@@ -1 +1 @@
-
+"""Column functions: text, minutes, calendar and competition labels."""

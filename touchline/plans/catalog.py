@@ -1,10 +1,9 @@
-"""All registered queries of the match-analytics operators and their SQL oracles."""
+"""All registered queries of the match operators and their SQL oracles."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from touchline.plans import text_queries  # noqa: F401  registers its queries
+from touchline.plans.match_queries import ORACLE, QUERIES
 
-from pyspark.sql import DataFrame, SparkSession
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
+__all__ = ["ORACLE", "QUERIES"]
