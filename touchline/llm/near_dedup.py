@@ -7,9 +7,9 @@ share one of ``SKETCHES`` sketches are candidates; a pair is linked if the align
 sequences (longest common subsequence within a band) has ``common / (a + b - common) >= 0.8``.
 
 Scale. Equal texts are collapsed first, so copies are never paired. In a bucket each member is
-compared with the bucket's first member and with the first member of its salted sub-bucket, and
-later rounds compare the first members of different groups that still share a bucket, until no
-round finds a link: no bucket is expanded to all pairs, none is capped, none sits in one task.
+compared with the bucket's first member and with the member before it, and later rounds compare
+the first members of different groups that still share a bucket, until no round finds a link: no
+bucket is expanded to all pairs, none is capped, and a large one is dealt over many tasks.
 
 Null and empty texts are equal texts. Texts of fewer than five words have one shingle, all their
 words. Rows with a null doc_id are left out of the grouping. Repeated rows give repeated results.
@@ -22,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from touchline.llm.common import Words, batches_by_size, connected_components, grams, materialize, mix64, salt_of, salted_join
@@ -31,6 +31,8 @@ SHINGLE = 5
 SIMILARITY = 0.8
 SKETCHES = 12
 PICK = 2
+#: Members of a bucket that are put in order together.
+RUN = 1000
 _SCALE = [int(x) | 1 for x in mix64(np.arange(SKETCHES, dtype=np.uint64), seed=7)]
 
 
@@ -164,7 +166,8 @@ def verify(pairs: DataFrame, docs: DataFrame, similarity: float = SIMILARITY) ->
     """
     pairs = pairs.withColumn("_chunk", salt_of(F.col("a")))
     ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    first = docs.join(ids, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
+    # A merge join at any size: whether the ids would fit a broadcast depends on the data.
+    first = docs.join(ids.hint("merge"), "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
     seqs = materialize(_sequences(first))
     members = pairs.join(seqs.withColumnRenamed("doc_id", "a"), "a").select("b", "_chunk", "a", "seq")
     hubs = pairs.select("b", "_chunk").distinct().join(seqs.withColumnRenamed("doc_id", "b"), "b")
@@ -186,18 +189,23 @@ def verify(pairs: DataFrame, docs: DataFrame, similarity: float = SIMILARITY) ->
     return dealt.mapInPandas(run, "a long, b long")
 
 
-def _candidates(buckets: DataFrame) -> DataFrame:
-    """Pairs (a, b), b < a, of ``buckets(key, rep)``: with the first of the bucket and of the salted sub-bucket."""
-    subs = buckets.withColumn("_salt", salt_of(F.col("rep"))).groupBy("key", "_salt").agg(F.min("rep").alias("sub"), F.count("*").alias("n"))
-    tops = subs.groupBy("key").agg(F.min("sub").alias("top"), F.sum("n").alias("n")).filter("n > 1").drop("n")
-    both = subs.join(tops, "key").select("key", "_salt", "sub", "top")
-    rows = buckets.withColumn("_salt", salt_of(F.col("rep"))).join(both, ["key", "_salt"])
-    return (
-        rows.select(F.explode(F.array(F.struct(F.col("rep").alias("a"), F.col("top").alias("b")), F.struct(F.col("rep").alias("a"), F.col("sub").alias("b")), F.struct(F.col("sub").alias("a"), F.col("top").alias("b")))).alias("p"))
-        .select("p.*")
-        .filter("a <> b")
-        .distinct()
-    )
+def _crowded(keyed: DataFrame) -> DataFrame:
+    """(key, rep, n, top) of ``keyed(key, rep)``: members of buckets of two or more, with the size and the first member."""
+    crowded = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("rep").alias("top")).filter("n > 1")
+    return salted_join(keyed, crowded, "key", [F.col("rep")])
+
+
+def _candidates(rows: DataFrame) -> DataFrame:
+    """Pairs (a, b), b < a, of ``_crowded`` rows: each member with the first of its bucket and with the one before it.
+
+    A bucket of more than ``RUN`` members is dealt over as many runs as it has RUNs, so that no task
+    orders a hot bucket by itself; runs meet in the bucket's first member.
+    """
+    run = F.when(F.col("n") > RUN, F.pmod(F.xxhash64("rep"), F.ceil(F.col("n") / RUN))).otherwise(F.lit(0))
+    before = F.lag("rep").over(Window.partitionBy("key", "_run").orderBy("rep"))
+    rows = rows.withColumn("_run", run).withColumn("_before", before)
+    pairs = rows.select("rep", F.explode(F.array_distinct(F.array("top", F.coalesce("_before", "top")))).alias("b"))
+    return pairs.filter("rep <> b").select(F.col("rep").alias("a"), "b").distinct()
 
 
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, max_rounds: int = 8) -> DataFrame:
@@ -218,16 +226,13 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, max_rounds:
         )
     )
     keyed = classes.filter("size > 0").select("rep", F.posexplode("sketch").alias("j", "s")).select("rep", F.xxhash64("j", "s").alias("key"))
+    edges = asked = None
     # Buckets of one member never matter again.
-    crowded = keyed.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
-    buckets = materialize(salted_join(keyed, crowded, "key", [F.col("rep")]))
-    edges = None
-    asked = None
-    groups = buckets
+    buckets = groups = materialize(_crowded(keyed))
     for _ in range(max_rounds):
         pairs = _candidates(groups)
         if asked is not None:
-            pairs = pairs.join(asked, ["a", "b"], "left_anti")
+            pairs = pairs.join(asked.hint("merge"), ["a", "b"], "left_anti")
         pairs = materialize(pairs)
         if pairs.isEmpty():
             break
@@ -236,10 +241,10 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, max_rounds:
         if found.isEmpty():
             break
         edges = found if edges is None else edges.union(found)
-        component = materialize(connected_components(edges))
+        component = connected_components(edges)
         # What is left to ask: different groups that still share a bucket, by the first member of each there.
-        named = buckets.join(component.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-        groups = named.groupBy("key", "component").agg(F.min("rep").alias("rep")).select("key", "rep")
+        named = buckets.select("key", "rep").join(component.withColumnRenamed("node", "rep").hint("merge"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+        groups = _crowded(named.groupBy("key", "component").agg(F.min("rep").alias("rep")).select("key", "rep"))
     if edges is None:
         return rows.select("doc_id", "exact_id", F.col("exact_id").alias("class_id"), (F.col("doc_id") == F.col("exact_id")).alias("kept"))
     joined = salted_join(rows, component.withColumnRenamed("node", "exact_id"), "exact_id", [F.col("doc_id")], "left")
