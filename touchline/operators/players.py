@@ -76,7 +76,7 @@ def careers(appearances: DataFrame, goals: DataFrame, cards: DataFrame) -> DataF
     teams = a.select("match_id", "player_id", "team").distinct()
     calls = a.groupBy(*key).agg(F.count_distinct("match_id").alias("called_up"), F.count_if(F.col("minutes") > 0).alias("played"), F.sum("minutes").alias("minutes"))
     g = goal_counts(goals.join(teams, ["match_id", "player_id"], "left"), key)
-    c = card_counts(cards.join(teams, ["match_id", "player_id"], "left"), key)
+    c = card_counts(cards.drop("team").join(teams, ["match_id", "player_id"], "left"), key)
     # Union and one aggregation: a full outer join on null-safe keys in a single shuffle.
     numbers = ["called_up", "played", "minutes", "goals", "yellows", "reds"]
     parts = calls.unionByName(g, allowMissingColumns=True).unionByName(c, allowMissingColumns=True)
