@@ -14,7 +14,7 @@ whose rank is unique drop out, the rest go on with a longer prefix, until the th
 4. *Round LENGTH.* Only places of equal rank but different surroundings (where a match begins or
    ends) go on: their windows are ranked whole, and the smallest document of each rank keeps it.
 
-Ranks are fingerprints of 96 bits and more (64 for the sampling order), so unequal strings of one
+Ranks are compared by fingerprints of 96 bits and more, so unequal strings of one
 rank are not to be expected at any corpus size.
 
 Scale. Texts are packed once into compressed chunks in the shared folder; nothing else holds text.
@@ -30,6 +30,7 @@ from __future__ import annotations
 
 import gc
 import hashlib
+import time
 from collections.abc import Iterator
 
 import numpy as np
@@ -54,10 +55,16 @@ RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 s
 
 
 def freed(df: DataFrame) -> DataFrame:
-    """Materialise, then let go of the shuffle files that only earlier steps needed."""
+    """Materialise, then let go of the shuffle files that only earlier steps needed.
+
+    Spark's cleaner removes a shuffle once the driver's JVM has collected it; the short waits let
+    the listeners drop the finished plan before, and the cleaner work after.
+    """
     out = materialize(df)
-    gc.collect()
-    df.sparkSession._jvm.System.gc()
+    for _ in range(2):
+        time.sleep(0.4)
+        gc.collect()
+        df.sparkSession._jvm.System.gc()
     return out
 
 
@@ -173,50 +180,64 @@ def _spread(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(32))
 
 
-def _second(x: np.ndarray) -> np.ndarray:
-    with np.errstate(over="ignore"):
-        return ((x * np.uint64(0x94D049BB133111EB)) >> np.uint64(32)).astype(np.uint32)
+def _planes(x: np.ndarray) -> bytes:
+    """Bytes of equal weight together, which compresses small differences to their low bytes."""
+    return np.ascontiguousarray(x).view(np.uint8).reshape(len(x), -1).T.tobytes()
+
+
+def _unplaned(raw: bytes, dtype: type, n: int, at: int) -> np.ndarray:
+    width = np.dtype(dtype).itemsize
+    planes = np.frombuffer(raw, dtype=np.uint8, count=width * n, offset=at).reshape(width, n)
+    return np.ascontiguousarray(planes.T).view(dtype).reshape(n)
+
 
+def _questions(chunk: int, buckets: int, rank: np.ndarray, extra: np.ndarray, doc: np.ndarray) -> Iterator[pd.DataFrame]:
+    """Rows (bucket, chunk, first, n, blob) of one chunk's questions, in order of rank, dealt by ranges of rank.
 
-def _questions(chunk: int, buckets: int, rank: np.ndarray, extra: np.ndarray, doc: np.ndarray, token: np.ndarray) -> Iterator[pd.DataFrame]:
-    """Rows (bucket, chunk, blob) that hold the questions of one chunk, dealt by rank."""
-    own = (rank % np.uint64(buckets)).astype(np.int64)
-    order = np.argsort(own, kind="stable")
-    cuts = np.searchsorted(own[order], np.arange(buckets + 1))
+    A question's token is its place in that order, so it need not be sent; ranks go as differences.
+    """
+    own = ((rank >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+    cuts = np.searchsorted(own, np.arange(buckets + 1))
+    least = int(doc.min()) if len(doc) else 0
+    away = (doc - least).astype(np.uint64)
+    pack = zstandard.ZstdCompressor(level=1)
     rows = []
     for b in range(buckets):
-        pick = order[cuts[b] : cuts[b + 1]]
-        if len(pick):
-            blob = rank[pick].tobytes() + extra[pick].tobytes() + token[pick].astype("<u4").tobytes() + doc[pick].astype("<i8").tobytes()
-            rows.append((b, chunk, len(pick), zstandard.ZstdCompressor(level=1).compress(blob)))
-    yield pd.DataFrame(rows, columns=["bucket", "chunk", "n", "blob"])
+        s, e = int(cuts[b]), int(cuts[b + 1])
+        if e > s:
+            steps = np.diff(rank[s:e], prepend=np.uint64(0))
+            blob = np.int64(least).tobytes() + _planes(steps) + _planes(extra[s:e]) + _planes(away[s:e])
+            rows.append((b, chunk, s, e - s, pack.compress(blob)))
+    yield pd.DataFrame(rows, columns=["bucket", "chunk", "first", "n", "blob"])
 
 
-_QUESTION = "bucket int, chunk long, n long, blob binary"
+_QUESTION = "bucket int, chunk long, first long, n long, blob binary"
 
 
 def _by_bucket(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[np.ndarray, ...]]:
     """(chunk, rank, extra, token, doc) arrays of one bucket after another; the input is sorted by bucket."""
 
-    def joined(rows: list[tuple[int, int, bytes]]) -> tuple[np.ndarray, ...]:
+    def joined(rows: list[tuple[int, int, int, bytes]]) -> tuple[np.ndarray, ...]:
         parts: list[list[np.ndarray]] = [[], [], [], [], []]
-        for chunk, n, blob in rows:
+        for chunk, first, n, blob in rows:
             raw = zstandard.ZstdDecompressor().decompress(blob)
+            least = int(np.frombuffer(raw, dtype=np.int64, count=1)[0])
             parts[0].append(np.full(n, chunk, dtype=np.int64))
-            parts[1].append(np.frombuffer(raw, dtype=np.uint64, count=n))
-            parts[2].append(np.frombuffer(raw, dtype=np.uint32, count=n, offset=8 * n))
-            parts[3].append(np.frombuffer(raw, dtype=np.uint32, count=n, offset=12 * n))
-            parts[4].append(np.frombuffer(raw, dtype=np.int64, count=n, offset=16 * n))
+            parts[1].append(np.cumsum(_unplaned(raw, np.uint64, n, 8)))
+            parts[2].append(_unplaned(raw, np.uint64, n, 8 + 8 * n))
+            parts[3].append(np.arange(first, first + n, dtype=np.uint32))
+            parts[4].append(_unplaned(raw, np.uint64, n, 8 + 16 * n).astype(np.int64) + least)
         return tuple(np.concatenate(p) for p in parts)
 
     now, rows = None, []
     for batch in batches:
-        for b, chunk, n, blob in zip(batch["bucket"].tolist(), batch["chunk"].tolist(), batch["n"].tolist(), batch["blob"].tolist(), strict=True):
+        columns = (batch[c].tolist() for c in ("bucket", "chunk", "first", "n", "blob"))
+        for b, chunk, first, n, blob in zip(*columns, strict=True):
             if b != now and rows:
                 yield joined(rows)
                 rows = []
             now = b
-            rows.append((chunk, n, blob))
+            rows.append((chunk, first, n, blob))
     if rows:
         yield joined(rows)
 
@@ -300,7 +321,7 @@ def remove_repeats(docs: DataFrame, chunk_bytes: int = CHUNK) -> DataFrame:
                 c = Chunk(blob)
                 c.sample()
                 _, first = c.classes()
-                yield from _questions(key, buckets, c.rank[first], _second(c.around[first]), c.ids[c.doc[first]], np.arange(len(first)))
+                yield from _questions(key, buckets, c.rank[first], c.around[first], c.ids[c.doc[first]])
 
     def dealt(questions: DataFrame, mixed: bool) -> DataFrame:
         return freed(questions.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInPandas(_settle(mixed), "chunk long, kind int, tokens binary"))
@@ -316,7 +337,7 @@ def remove_repeats(docs: DataFrame, chunk_bytes: int = CHUNK) -> DataFrame:
                 c.sample()
                 at, doc, w = _open_windows(c, *c.classes(), _tokens(open_))
                 _, first = _window_classes(c, at, w)
-                yield from _questions(key, buckets, w[first], _second(w[first] ^ c.name(at[first], HALF)), c.ids[doc[first]], np.arange(len(first)))
+                yield from _questions(key, buckets, w[first], c.name(at[first], HALF) & _LOW, c.ids[doc[first]])
 
     windows = dealt(_told(chunks, places).mapInPandas(ask_windows, _QUESTION), False)
 
