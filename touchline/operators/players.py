@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from touchline.functions.calendar import age_on
 from touchline.operators.tables import first_rows, ordering, ranked
 
-ZERO = F.lit(0)
 
 
 def card_counts(cards: DataFrame, by: list[str]) -> DataFrame:
@@ -31,7 +30,7 @@ def player_totals(appearances: DataFrame, goals: DataFrame, cards: DataFrame, bi
         F.count_distinct("match_id").alias("called_up"),
         F.count_if(F.col("minutes") > 0).alias("played"),
         F.count_if(F.col("starter")).alias("starts"),
-        F.coalesce(F.sum("minutes"), ZERO).alias("minutes"),
+        F.coalesce(F.sum("minutes"), F.lit(0)).alias("minutes"),
     )
     out = base.join(goal_counts(goals, ["player_id"]), "player_id", "left").join(card_counts(cards, ["player_id"]), "player_id", "left")
     out = out.fillna(0, ["goals", "yellows", "reds"])
@@ -80,7 +79,7 @@ def careers(appearances: DataFrame, goals: DataFrame, cards: DataFrame) -> DataF
     # Union and one aggregation: a full outer join on null-safe keys in a single shuffle.
     numbers = ["called_up", "played", "minutes", "goals", "yellows", "reds"]
     parts = calls.unionByName(g, allowMissingColumns=True).unionByName(c, allowMissingColumns=True)
-    return parts.groupBy(*key).agg(*[F.coalesce(F.sum(n), ZERO).alias(n) for n in numbers])
+    return parts.groupBy(*key).agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in numbers])
 
 
 def career_totals(appearances: DataFrame, goals: DataFrame, cards: DataFrame, by: list[str], where: str = "true") -> DataFrame:
