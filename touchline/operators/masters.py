@@ -140,7 +140,7 @@ def timeline(matches: DataFrame, goals: DataFrame, cards: DataFrame, substitutio
     )
     home = matches.select("match_id", team_key(F.col("home")).alias("_home"))
     rows = events.join(home, "match_id").withColumns({"at_home": team_key(F.col("team")) == F.col("_home"), "_s": sort_minute(F.col("minute")), "shown": show_minute(F.col("minute"))})
-    return numbered(rows, ["match_id"], ordering("_s", "_p", "event", "player_id"), "place").drop("_s", "_p", "_home")
+    return numbered(rows, ["match_id"], ordering("_s", "_p", "event", "player_id", "team"), "place").drop("_s", "_p", "_home")
 
 
 def side_of(club: Column, home: Column, away: Column) -> Column:

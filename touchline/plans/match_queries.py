@@ -351,7 +351,7 @@ def cascade_ids(spark, sf_dir):
 
 
 @query(
-    """, app AS (SELECT match_id, 'N' || CAST(CAST(substr(player_id, 2) AS BIGINT) % 40 AS VARCHAR) AS name, team, match_date, shirt * 1000 + CAST(substr(player_id, 2) AS BIGINT) AS ord FROM appearances),
+    """, app AS (SELECT match_id, 'N' || CAST(CAST(substr(player_id, 2) AS BIGINT) % 40 AS VARCHAR) AS name, team, match_date, match_id * 10000 + shirt * 1000 + CAST(substr(player_id, 2) AS BIGINT) AS ord FROM appearances),
 n AS (SELECT *, count(*) OVER (PARTITION BY name, team, match_id, match_date) AS c FROM app),
 t AS (SELECT *, max(c) OVER (PARTITION BY name, team) > 1 AS tw, row_number() OVER (PARTITION BY name, team, match_date ORDER BY ord) AS k FROM n),
 c AS (SELECT name, team, match_id, match_date, ord, CASE WHEN tw THEN k ELSE 1 END AS cluster FROM t),
@@ -360,7 +360,7 @@ SELECT name, team, match_id, ord, CAST(cluster * 1000 + 1 + sum(CASE WHEN prev I
 )
 def homonym_stints(spark, sf_dir):
     number = F.substring("player_id", 2, 10).cast("long")
-    app = a.appearances(spark, sf_dir).select("match_id", F.concat(F.lit("N"), (number % 40).cast("string")).alias("name"), "team", "match_date", (F.col("shirt") * 1000 + number).alias("ord"))
+    app = a.appearances(spark, sf_dir).select("match_id", F.concat(F.lit("N"), (number % 40).cast("string")).alias("name"), "team", "match_date", (F.col("match_id") * 10000 + F.col("shirt") * 1000 + number).alias("ord"))
     out = identity.split_stints(identity.same_day_clusters(app))
     return longs(out.select("name", "team", "match_id", "ord", "cluster"), "cluster")
 
@@ -370,7 +370,7 @@ def identity_resolution(spark, sf_dir):
     number = F.substring("player_id", 2, 10).cast("long")
     group = F.when(number % 3 == 0, "сениори").when(number % 3 == 1, "пионери").otherwise("младинци")
     app = a.appearances(spark, sf_dir).select(
-        "match_id", F.concat(F.lit("Name N"), (number % 40).cast("string")).alias("name"), "team", "match_date", (F.col("shirt") * 1000 + number).alias("ord"), group.alias("category")
+        "match_id", F.concat(F.lit("Name N"), (number % 40).cast("string")).alias("name"), "team", "match_date", (F.col("match_id") * 10000 + F.col("shirt") * 1000 + number).alias("ord"), group.alias("category")
     )
     return identity.resolve_players(app).select("name", "team", "match_id", "ord", "player_id")
 

@@ -65,7 +65,7 @@ def word_order(spark, sf_dir):
     return table(spark, sf_dir, "conversations").select("conv_id", "turn", t.last_word(F.col("text")).alias("surname"), t.reversed_words(c).alias("reversed"))
 
 
-@query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, to_json({'event_id': event_id, 'type': event_type, 'missing': NULL}) AS j FROM events", base=False)
+@query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, CAST(to_json({'event_id': event_id, 'type': event_type, 'missing': NULL}) AS VARCHAR) AS j FROM events", base=False)
 def json_props(spark, sf_dir):
     ev = table(spark, sf_dir, "events")
     out = F.struct("event_id", F.col("event_type").alias("type"), F.lit(None).cast("string").alias("missing"))
