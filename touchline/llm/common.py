@@ -61,38 +61,34 @@ def salted_join(
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(node, component) for every node of ``edges(a, b)``; component = smallest node reachable.
 
-    Alternating large-star and small-star rounds until every component is a star, which a semi
-    join tells (no centre has a smaller neighbour). Each round aggregates with map-side combine and
-    joins back through salted keys, so a hub with a third of all edges is spread over many tasks.
-    Nothing is collected. Null ends and self loops are ignored; empty input gives no rows.
+    Alternating large-star and small-star steps until every component is a star (one aggregation
+    tells: no node has two centres, no centre has one). Each step aggregates with map-side combine
+    and joins back through salted keys, so a hub with a third of all edges is spread over many
+    tasks. Nothing is collected. Null ends and self loops are ignored; empty input gives no rows.
     """
+
+    def star(e: DataFrame, large: bool) -> DataFrame:
+        rows = e.union(e.select("b", "a")) if large else e
+        low = rows.groupBy("a").agg(F.min("b").alias("m"))
+        low = low.select("a", F.least("a", "m").alias("m")) if large else low
+        joined = salted_join(rows.filter("b > a") if large else rows, low, "a", [F.col("b")])
+        moved = joined.select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b")
+        return materialize(moved.union(low.filter("a <> m").select("a", F.col("m").alias("b"))).distinct())
+
+    def settled(e: DataFrame) -> bool:
+        ends = e.select(F.col("a").alias("node"), F.lit(1).alias("child"), F.lit(0).alias("centre")).union(e.select("b", F.lit(0), F.lit(1)))
+        per = ends.groupBy("node").agg(F.sum("child").alias("child"), F.max("centre").alias("centre"))
+        return per.filter("child > 1 or (child = 1 and centre = 1)").isEmpty()
+
     current = materialize(
         edges.filter("a is not null and b is not null and a <> b")
         .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         .distinct()
     )
     for _ in range(max_rounds):
-        centres = current.select(F.col("b").alias("a")).distinct()
-        tied = current.groupBy("a").agg(F.count("*").alias("n")).filter("n > 1").select("a")
-        if current.select("a").distinct().join(centres.union(tied).distinct(), "a", "left_semi").isEmpty():
+        if settled(current):
             break
-        both = current.union(current.select("b", "a"))
-        low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = (
-            salted_join(both.filter("b > a"), low, "a", [F.col("b")])
-            .select(F.col("b").alias("a"), F.col("m").alias("b"))
-            .filter("a <> b")
-            .union(low.filter("a <> m").select("a", F.col("m").alias("b")))
-        )
-        low2 = large.groupBy("a").agg(F.min("b").alias("m"))
-        joined = salted_join(large, low2, "a", [F.col("b")])
-        small = (
-            joined.filter("b <> m")
-            .select(F.col("b").alias("a"), F.col("m").alias("b"))
-            .union(low2.select("a", F.col("m").alias("b")))
-            .distinct()
-        )
-        current = materialize(small)
+        current = star(star(current, True), False)
     else:
         raise RuntimeError("connected components did not settle")
     return current.withColumnsRenamed({"a": "node", "b": "component"}).union(
@@ -173,7 +169,7 @@ def grams(words: np.ndarray, k: int) -> np.ndarray:
     return mix64(out)
 
 
-def batches_by_size(pdf, limit: int = 4_000_000):
+def batches_by_size(pdf, limit: int = 1_000_000):
     """Split a pandas batch into slices of about ``limit`` characters (a longer text is a slice of its own)."""
     sizes = pdf["text"].str.len().fillna(0).to_numpy(dtype=np.int64) + 1
     begin, total = 0, 0

@@ -144,8 +144,8 @@ def aligned(a: np.ndarray, b: np.ndarray, similarity: float = SIMILARITY) -> boo
     return len(tails) >= need
 
 
-def _sequences(docs: DataFrame) -> DataFrame:
-    """(doc_id, seq): labelled shingle hashes, four bytes each, in text order."""
+def sequences(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(doc_id, seq) of the documents in ``ids(doc_id)``: labelled shingle hashes, four bytes each, in text order."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -155,20 +155,18 @@ def _sequences(docs: DataFrame) -> DataFrame:
                 seqs = [small[bounds[i] : bounds[i + 1]].tobytes() for i in range(len(part))]
                 yield pd.DataFrame({"doc_id": part["doc_id"].to_numpy(), "seq": seqs})
 
-    return docs.mapInPandas(run, "doc_id long, seq binary")
+    # A merge join at any size: whether the ids would fit a broadcast depends on the data.
+    first = docs.join(ids.hint("merge"), "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
+    return first.mapInPandas(run, "doc_id long, seq binary")
 
 
-def verify(pairs: DataFrame, docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+def verify(pairs: DataFrame, seqs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """The pairs (a, b) of distinct documents whose alignment reaches ``similarity``.
 
-    Only texts that occur in a pair are read again. ``b`` may be a hub of many pairs: its rows
-    are dealt over salts and its text goes once to each salt in use; a task streams, hub first.
+    ``b`` may be a hub of many pairs: its rows are dealt over salts and its sequence goes once to
+    each salt in use; a task streams, hub first.
     """
     pairs = pairs.withColumn("_chunk", salt_of(F.col("a")))
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    # A merge join at any size: whether the ids would fit a broadcast depends on the data.
-    first = docs.join(ids.hint("merge"), "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
-    seqs = materialize(_sequences(first))
     members = pairs.join(seqs.withColumnRenamed("doc_id", "a"), "a").select("b", "_chunk", "a", "seq")
     hubs = pairs.select("b", "_chunk").distinct().join(seqs.withColumnRenamed("doc_id", "b"), "b")
     rows = hubs.select("b", "_chunk", F.lit(None).cast("long").alias("a"), "seq").union(members)
@@ -226,9 +224,11 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, max_rounds:
         )
     )
     keyed = classes.filter("size > 0").select("rep", F.posexplode("sketch").alias("j", "s")).select("rep", F.xxhash64("j", "s").alias("key"))
-    edges = asked = None
     # Buckets of one member never matter again.
     buckets = groups = materialize(_crowded(keyed))
+    # Texts are read again once, for those alone that share a bucket; later rounds ask about some of them.
+    seqs = materialize(sequences(docs, buckets.select(F.col("rep").alias("doc_id")).distinct()))
+    edges = asked = None
     for _ in range(max_rounds):
         pairs = _candidates(groups)
         if asked is not None:
@@ -237,10 +237,11 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, max_rounds:
         if pairs.isEmpty():
             break
         asked = pairs if asked is None else asked.union(pairs)
-        found = materialize(verify(pairs, docs, similarity))
+        found = materialize(verify(pairs, seqs, similarity))
         if found.isEmpty():
             break
-        edges = found if edges is None else edges.union(found)
+        # The stars of the round before stand for all its links.
+        edges = found if edges is None else component.select(F.col("node").alias("a"), F.col("component").alias("b")).union(found)
         component = connected_components(edges)
         # What is left to ask: different groups that still share a bucket, by the first member of each there.
         named = buckets.select("key", "rep").join(component.withColumnRenamed("node", "rep").hint("merge"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))

@@ -186,13 +186,13 @@ def redact_documents(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mark: str
     Each blob is scanned once; its findings go back to all its rows over salted keys. A text
     without findings stays as it is, null included.
     """
-    rows = docs.withColumn("_blob", blob_id(F.col("text")))
-    blobs = rows.select("_blob", F.coalesce("text", F.lit("")).alias("text")).groupBy("_blob").agg(F.first("text").alias("text"))
-    hits = scan_blobs(blobs.withColumnRenamed("_blob", "blob"), rules).filter(F.size("findings") > 0)
-    hits = hits.select(F.col("blob").alias("_blob"), F.col("findings").alias("_findings"))
-    joined = salted_join(rows, hits, "_blob", [F.col("doc_id")], "left")
-    found = F.coalesce("_findings", F.array().cast(f"array<{FINDING}>"))
-    changed = joined.withColumn("text", redact(F.col("text"), found, mark))
+    # The row travels as one struct, so no column of the input can clash with those used here.
+    rows = docs.select(F.struct("*").alias("row"), blob_id(F.col("text")).alias("blob"))
+    blobs = rows.select("blob", F.coalesce("row.text", F.lit("")).alias("text")).groupBy("blob").agg(F.first("text").alias("text"))
+    hits = scan_blobs(blobs, rules).filter(F.size("findings") > 0)
+    joined = salted_join(rows, hits, "blob", [F.col("row.doc_id")], "left")
+    found = F.coalesce("findings", F.array().cast(f"array<{FINDING}>"))
+    changed = {"text": redact(F.col("row.text"), found, mark)}
     if "n_chars" in docs.columns:
-        changed = changed.withColumn("n_chars", F.when(F.size(found) > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
-    return changed.select(*docs.columns)
+        changed["n_chars"] = F.when(F.size(found) > 0, F.length(changed["text"]).cast("long")).otherwise(F.col("row.n_chars"))
+    return joined.select(*[changed.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
