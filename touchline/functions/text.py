@@ -176,7 +176,7 @@ def quiet_capitals(c: Column, acronyms: tuple[str, ...] = ("U17", "U19", "II"),
 def note_lines(c: Column) -> Column:
     """Written-out and Windows line ends to '\\n', runs of them to one."""
     text = F.replace(F.replace(c, F.lit("\\n"), F.lit("\n")), F.lit("\r"), F.lit(""))
-    return F.trim(F.regexp_replace(text, r"\n{2,}", "\n"))
+    return F.regexp_replace(F.regexp_replace(text, r"\n{2,}", "\n"), r"^\s+|\s+$", "")
 
 
 def sql_paste(*cols: Column, sep: str = " ") -> Column:

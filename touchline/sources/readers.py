@@ -49,7 +49,7 @@ def id_ranges(spark: SparkSession, path: str) -> DataFrame:
     rows = lines(spark, path).filter(~F.trim("line").rlike("^(#|$)")).select(
         F.trim("line").alias("label"), F.trim(parts[0]).try_cast("long").alias("low"), F.trim(F.get(parts, F.lit(1))).try_cast("long").alias("high")
     )
-    return rows.filter("low <= high").select("label", F.explode(F.sequence("low", "high")).cast("string").alias("match_id"))
+    return rows.filter("low <= high").select("label", F.explode(F.sequence("low", "high")).alias("match_id")).withColumn("match_id", F.col("match_id").cast("string"))
 
 
 def withdrawal_file(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
