@@ -45,9 +45,9 @@ from touchline.llm.common import _INV, _ODD, materialize, powers
 LENGTH = 50
 HALF = 25
 #: Bytes of text in a chunk (a longer document is a chunk of its own).
-CHUNK = 2_000_000
+CHUNK = 1_500_000
 #: Bytes of text whose questions share a bucket: about a million sampled places.
-BUCKET = 14_000_000
+BUCKET = 10_000_000
 LEAST_BUCKETS = 64
 _LOW = np.uint64(0xFFFFFFFF)
 
@@ -144,7 +144,8 @@ class Chunk:
             self.low = starts[first]
             self.high = starts[np.append(first[1:], len(starts)) - 1] if len(first) else starts
             self.doc = np.searchsorted(self.ends, self.places, side="right")
-            self.rank = rank[self.places]
+            # Chosen ranks are small ones; spread again, they fall evenly into ranges.
+            self.rank = _spread(rank[self.places] * np.uint64(0x94D049BB133111EB))
             s = np.maximum(self.places - HALF, self.starts[self.doc])
             e = np.minimum(self.places + 2 * HALF, self.ends[self.doc])
             cut = ((self.places - s) * 64 + (e - self.places)).astype(np.uint64)
