@@ -102,7 +102,25 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_url_filter": op10_url_filter,
 }
 
+def _found_sql(rule: secrets.Rule, order: int) -> str:
+    """Matches of one rule with the gaps before them, whose lengths give the positions."""
+    pattern = rule.pattern.replace("'", "''")
+    long_enough = f"length(regexp_extract(m[i], '{pattern}', {rule.group})) >= {rule.at_least}" if rule.group else "true"
+    return f"""SELECT rid, {order} AS ord, '{rule.kind}' AS kind, s, s + length(m[i]) AS e FROM (
+  SELECT *, CAST(list_sum(list_transform(g[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0) AS BIGINT) AS s FROM (
+    SELECT *, unnest(range(1, len(m) + 1)) AS i FROM (
+      SELECT rid, regexp_extract_all(t, '{pattern}') AS m, string_split_regex(t, '{pattern}') AS g FROM d))) WHERE {long_enough}"""
+
+
 ORACLE: dict[str, str] = {
+    "op2_secret_scan": "WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents), f AS ("
+    + " UNION ALL ".join(_found_sql(r, i) for i, r in enumerate(secrets.RULES))
+    + f"""), a AS (
+  SELECT rid, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
+    coalesce(string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, ord) FILTER (ord < {len(secrets.BASE_RULES)}), '') AS base, string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, ord) AS spans
+  FROM f GROUP BY rid)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN a USING (rid)""",
     "op10_url_filter": r"""
 WITH p AS (
   SELECT page_id,
