@@ -88,13 +88,26 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05, steps: int =
     return w
 
 
-def choose_features(toxic: list[set[str]], clean: list[set[str]], limit: int) -> list[str]:
-    """Features far more frequent in toxic rows: those that explain the most rows first."""
-    hot, cold = Counter(f for s in toxic for f in s), Counter(f for s in clean for f in s)
+def text_features(text: str | None) -> set[str]:
+    return {f for w in words_of(text) for f in features_of(w)}
+
+
+def choose_features(toxic: list[str | None], clean: list[str | None], limit: int) -> list[str]:
+    """Features far more frequent in toxic rows: those that explain the most rows first.
+
+    Rows are counted one at a time, and in clean rows only features that toxic rows have.
+    """
+    hot: Counter[str] = Counter()
+    for t in toxic:
+        hot.update(text_features(t))
+    hot = Counter({f: n for f, n in hot.items() if n >= 3})
+    cold: Counter[str] = Counter()
+    for t in clean:
+        cold.update(f for f in text_features(t) if f in hot)
     scored = []
     for f, n in hot.items():
         ratio = ((n + 0.1) / (len(toxic) + 1)) / ((cold[f] + 0.5) / (len(clean) + 1))
-        if n >= 3 and ratio >= 4:
+        if ratio >= 4:
             scored.append((-n * math.log(ratio), f))
     return [f for _, f in sorted(scored)[:limit]]
 
@@ -104,12 +117,12 @@ def train(rows: list[tuple[str | None, int]], limit: int = FEATURES, folds: int
     y = np.array([t for _, t in rows], dtype=np.float64)
     if not len(y) or y.min() == y.max():
         return Chain()
-    cache: dict[str, list[str]] = {}
-    sets = [{f for w in words_of(t) for f in cache.setdefault(w, features_of(w))} for t, _ in rows]
-    chosen = choose_features([s for s, t in zip(sets, y, strict=True) if t], [s for s, t in zip(sets, y, strict=True) if not t], limit)
+    chosen = choose_features([t for t, v in rows if v], [t for t, v in rows if not v], limit)
     chain = Chain({f: i for i, f in enumerate(chosen)})
-    x = chain.matrix([{chain.vocabulary[f] for f in s if f in chain.vocabulary} for s in sets])
-    marking = {f for f in chosen if f.endswith("$") or len(f) == PREFIXES[0]}
+    reader = Reader(chain)
+    sets = [reader.features(t) for t, _ in rows]
+    x = chain.matrix(sets)
+    marking = {i for i, f in enumerate(chosen) if f.endswith("$") or len(f) == PREFIXES[0]}
     markers = np.array([len(marking & s) for s in sets])
     targets = [y * (markers >= 1), y * (markers >= 2), y]
     fold = np.arange(len(y)) % folds
