@@ -140,7 +140,7 @@ def reversed_words(c: Column) -> Column:
 
 def mapped_list(c: Column, mapping: dict[str, str] | None = None, joiner: str = " / ") -> Column:
     """'A / B; A' to distinct parts in first-seen order, each mapped where known."""
-    parts = F.filter(F.transform(F.split(c, r"\s*[/;]\s*"), F.trim), lambda p: p != "")
+    parts = F.filter(F.transform(F.split(c, r"\s*[/;]\s*"), lambda p: F.trim(p)), lambda p: p != "")
     if mapping:
         known = F.create_map(*[F.lit(x) for kv in mapping.items() for x in kv])
         parts = F.transform(parts, lambda p: F.coalesce(F.try_element_at(known, p), p))

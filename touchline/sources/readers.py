@@ -72,7 +72,7 @@ def table_styles(spark: SparkSession, path: str) -> DataFrame:
 
 def groups_table(groups: DataFrame) -> DataFrame:
     """Competition groups with their teams as an array."""
-    return groups.withColumn("teams", F.transform(F.split("teams", r"\|"), F.trim)).withColumnRenamed("name", "competition")
+    return groups.withColumn("teams", F.transform(F.split("teams", r"\|"), lambda t: F.trim(t))).withColumnRenamed("name", "competition")
 
 
 def long_texts(texts: DataFrame) -> DataFrame:
