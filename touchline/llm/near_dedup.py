@@ -206,7 +206,7 @@ def _candidates(rows: DataFrame) -> DataFrame:
     return pairs.filter("rep <> b").select(F.col("rep").alias("a"), "b").distinct()
 
 
-def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, max_rounds: int = 8) -> DataFrame:
+def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """(doc_id, exact_id, class_id, kept) for every row of ``docs(doc_id, text)``.
 
     exact_id: smallest doc_id of the same word sequence; class_id: smallest doc_id reachable by
@@ -229,7 +229,7 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, max_rounds:
     # Texts are read again once, for those alone that share a bucket; later rounds ask about some of them.
     seqs = materialize(sequences(docs, buckets.select(F.col("rep").alias("doc_id")).distinct()))
     edges = asked = None
-    for _ in range(max_rounds):
+    while True:  # ends: every round but the last links two groups at least
         pairs = _candidates(groups)
         if asked is not None:
             pairs = pairs.join(asked.hint("merge"), ["a", "b"], "left_anti")
