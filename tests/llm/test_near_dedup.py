@@ -104,3 +104,24 @@ def test_components(spark):
                 label[a] = label[b] = min(label[a], label[b])
     got = connected_components(spark.createDataFrame(edges, "a long, b long"))
     assert {x["node"]: x["component"] for x in got.collect()} == label and got.count() == len(label)
+
+
+def test_pairs_under_a_shared_passage(spark):
+    """Pairs whose ids are far apart, in buckets crowded by one passage that most of each document is."""
+    r = random.Random(5)
+    passage = [f"p{i}" for i in range(60)]
+    rows, n = [], 400
+    for i in range(n):
+        own = [f"d{i}x{j}" for j in range(20)]
+        rows.append((i, " ".join(passage + own)))
+        own[r.randrange(1, 19)] = "other"
+        rows.append((n + (i * 37) % n, " ".join(passage + own)))
+    got = result(spark, rows)
+    assert similarity(rows[0][1], rows[2][1]) < 0.8 <= similarity(rows[0][1], rows[1][1])
+    assert got == {i: (i if i < n else next(k for k in range(n) if n + (k * 37) % n == i)) for i, _ in rows}
+
+
+def test_blocks_meet(spark, monkeypatch):
+    monkeypatch.setattr(nd, "BLOCK", 7)
+    test_pairs_under_a_shared_passage(spark)
+    test_equals_brute_force(spark)

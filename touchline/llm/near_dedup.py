@@ -7,9 +7,11 @@ share one of ``SKETCHES`` sketches are candidates; a pair is linked if the align
 sequences (longest common subsequence within a band) has ``common / (a + b - common) >= 0.8``.
 
 Scale. Equal texts are collapsed first, so copies are never paired. In a bucket each member is
-compared with the bucket's first member and with the member before it, and later rounds compare
-the first members of different groups that still share a bucket, until no round finds a link: no
-bucket is expanded to all pairs, none is capped, and a large one is dealt over many tasks.
+compared with the bucket's first member and with the member before it. Then every pair that still
+shares a bucket and is not connected is asked (``rest``): blocks of at most about ``BLOCK`` members
+meet block by block, only where lengths allow a link; a group of more than ``BLOCK`` members has
+blocks of its own, which do not meet each other. No bucket is capped. Blocks that meet grow with
+the square of the unrelated documents of like length in one bucket.
 
 Null and empty texts are equal texts. Texts of fewer than five words have one shingle, all their
 words. Rows with a null doc_id are left out of the grouping. Repeated rows give repeated results.
@@ -17,6 +19,7 @@ words. Rows with a null doc_id are left out of the grouping. Repeated rows give
 
 from __future__ import annotations
 
+import math
 from bisect import bisect_left
 from collections.abc import Iterator
 
@@ -33,6 +36,8 @@ SKETCHES = 12
 PICK = 2
 #: Members of a bucket that are put in order together.
 RUN = 1000
+#: Members of a bucket that meet another block together.
+BLOCK = 500
 _SCALE = [int(x) | 1 for x in mix64(np.arange(SKETCHES, dtype=np.uint64), seed=7)]
 
 
@@ -206,6 +211,106 @@ def _candidates(rows: DataFrame) -> DataFrame:
     return pairs.filter("rep <> b").select(F.col("rep").alias("a"), "b").distinct()
 
 
+def _block_links(reps: list[int], components: list[int], seqs: list[np.ndarray], split: int, similarity: float) -> list[tuple[int, int]]:
+    """Links that connect the different components of rows before ``split`` with those from it on (of all rows with each other, if none are)."""
+    n = len(reps)
+    x, y = (np.arange(split), np.arange(split, n)) if split < n else (np.arange(n), np.arange(n))
+    group = np.unique(components, return_inverse=True)[1]
+    open_ = group[x][:, None] != group[y][None, :]
+    if split >= n:
+        open_ &= x[:, None] < y[None, :]
+    sizes = np.array([len(s) for s in seqs])
+    need = similarity * (sizes[x][:, None] + sizes[y][None, :]) / (1 + similarity) - 1e-9
+    open_ &= np.minimum(sizes[x][:, None], sizes[y][None, :]) >= need
+    if not open_.any():
+        return []
+    # Labels are unique in a sequence: a common subsequence is no longer than the set of common labels.
+    _, label, count = np.unique(np.concatenate(seqs), return_inverse=True, return_counts=True)
+    column = np.cumsum(count > 1) - 1
+    row = np.repeat(np.arange(n), sizes)
+    shared = count[label] > 1
+    row, column = row[shared], column[label[shared]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    common = np.zeros((len(x), len(y)), dtype=np.float32)
+    step = 4096
+    for at in range(0, int(column[-1]) + 1 if len(column) else 0, step):
+        lo, hi = np.searchsorted(column, (at, at + step))
+        held = np.zeros((n, step), dtype=np.float32)
+        held[row[lo:hi], column[lo:hi] - at] = 1
+        common += held[x] @ held[y].T
+    out, root = [], list(range(int(group.max()) + 1))
+
+    def find(g: int) -> int:
+        while root[g] != g:
+            root[g] = root[root[g]]
+            g = root[g]
+        return g
+
+    for i, j in zip(*(k.tolist() for k in np.nonzero(open_ & (common >= need))), strict=True):
+        i, j = int(x[i]), int(y[j])
+        a, b = find(int(group[i])), find(int(group[j]))
+        if a != b and aligned(seqs[i], seqs[j], similarity):
+            root[a] = b
+            out.append((reps[i], reps[j]))
+    return out
+
+
+def rest(named: DataFrame, sizes: DataFrame, seqs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """Links (a, b) that connect all linked pairs of ``named(key, rep, component)`` in a bucket but not in a component.
+
+    ``sizes(rep, size)``: shingles per document. Levels of length are a little wider than a link
+    allows, so linked documents are in one level or in neighbouring ones. Buckets of three members
+    or fewer were asked as a whole before.
+    """
+    mixed = named.groupBy("key").agg(F.count("*").alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi")).filter("n > 3 and lo < hi")
+    rows = salted_join(named, mixed.select("key"), "key", [F.col("rep")])
+    level = F.floor(F.log(F.col("size").cast("double")) / math.log(1.01 / similarity)).cast("int")
+    rows = rows.join(sizes.hint("merge"), "rep").select("key", "rep", "component", level.alias("level"))
+    rows = materialize(rows.withColumn("place", F.struct("key", "level")).withColumn("cell", F.struct("key", "level", "component")))
+    large = rows.groupBy("cell").agg(F.count("*").alias("m")).filter(F.col("m") > BLOCK)
+    rows = salted_join(rows, large, "cell", [F.col("rep")], "left")
+    crowd = rows.filter("m is null").groupBy("place").agg(F.count("*").alias("total")).filter(F.col("total") > BLOCK)
+    rows = salted_join(rows, crowd, "place", [F.col("rep")], "left")
+    part = F.pmod(F.xxhash64("rep"), F.ceil(F.coalesce("m", "total", F.lit(1)) / BLOCK))
+    own = F.when(F.col("m").isNotNull(), F.col("component"))
+    members = materialize(rows.withColumn("own", own).select("key", "level", F.xxhash64("own", part).alias("block"), "rep", "component", "own"))
+
+    blocks = members.groupBy("key", "level", "block").agg(F.first("own").alias("own"), F.count("*").alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi"))
+    blocks = materialize(blocks)
+    one = blocks.select("key", F.col("level").alias("at"), "block", "own", "n", "lo", "hi")
+    two = blocks.select("key", F.explode(F.array("level", F.col("level") - 1)).alias("at"), *[F.col(c).alias(f"{c}_2") for c in ("level", "block", "own", "lo", "hi")])
+    meet = one.join(two.hint("merge"), ["key", "at"]).filter(
+        "(at < level_2 or block <= block_2) and least(lo, lo_2) < greatest(hi, hi_2) and not (own is not null and own_2 is not null and own = own_2)"
+    )
+    meet = materialize(meet.select("key", "at", "block", "level_2", "block_2", F.xxhash64("key", "at", "block", "level_2", "block_2").alias("task")))
+    first = meet.select("key", F.col("at").alias("level"), "block", "task", F.lit(0).alias("side"))
+    second = meet.filter("at < level_2 or block < block_2").select("key", F.col("level_2").alias("level"), F.col("block_2").alias("block"), "task", F.lit(1).alias("side"))
+    asked = members.select("key", "level", "block", "rep", "component").join(first.union(second).hint("merge"), ["key", "level", "block"])
+    asked = asked.select("task", "side", "rep", "component").join(seqs.withColumnRenamed("doc_id", "rep").hint("merge"), "rep")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        task, held = None, ([], [], [], [])
+
+        def done() -> list[tuple[int, int]]:
+            sides, reps, components, own = held
+            return _block_links(reps, components, own, len(sides) - sum(sides), similarity) if len(sides) > 1 else []
+
+        for batch in batches:
+            found = []
+            for t, *row, seq in zip(*(batch[c].tolist() for c in ("task", "side", "rep", "component", "seq")), strict=True):
+                if t != task:
+                    found += done()
+                    task, held = t, ([], [], [], [])
+                for have, value in zip(held, (*row, np.frombuffer(seq, dtype="<u4")), strict=True):
+                    have.append(value)
+            yield pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+        yield pd.DataFrame(done(), columns=["a", "b"], dtype="int64")
+
+    dealt = asked.repartition("task").sortWithinPartitions("task", "side", "rep")
+    return dealt.mapInPandas(run, "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """(doc_id, exact_id, class_id, kept) for every row of ``docs(doc_id, text)``.
 
@@ -225,29 +330,16 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     )
     keyed = classes.filter("size > 0").select("rep", F.posexplode("sketch").alias("j", "s")).select("rep", F.xxhash64("j", "s").alias("key"))
     # Buckets of one member never matter again.
-    buckets = groups = materialize(_crowded(keyed))
+    buckets = materialize(_crowded(keyed))
     # Texts are read again once, for those alone that share a bucket; later rounds ask about some of them.
     seqs = materialize(sequences(docs, buckets.select(F.col("rep").alias("doc_id")).distinct()))
-    edges = asked = None
-    while True:  # ends: every round but the last links two groups at least
-        pairs = _candidates(groups)
-        if asked is not None:
-            pairs = pairs.join(asked.hint("merge"), ["a", "b"], "left_anti")
-        pairs = materialize(pairs)
-        if pairs.isEmpty():
-            break
-        asked = pairs if asked is None else asked.union(pairs)
-        found = materialize(verify(pairs, seqs, similarity))
-        if found.isEmpty():
-            break
-        # The stars of the round before stand for all its links.
-        edges = found if edges is None else component.select(F.col("node").alias("a"), F.col("component").alias("b")).union(found)
-        component = connected_components(edges)
-        # What is left to ask: different groups that still share a bucket, by the first member of each there.
-        named = buckets.select("key", "rep").join(component.withColumnRenamed("node", "rep").hint("merge"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-        groups = _crowded(named.groupBy("key", "component").agg(F.min("rep").alias("rep")).select("key", "rep"))
-    if edges is None:
-        return rows.select("doc_id", "exact_id", F.col("exact_id").alias("class_id"), (F.col("doc_id") == F.col("exact_id")).alias("kept"))
+    found = materialize(verify(materialize(_candidates(buckets)), seqs, similarity))
+    component = connected_components(found)
+    named = buckets.select("key", "rep").join(component.withColumnRenamed("node", "rep").hint("merge"), "rep", "left")
+    left = materialize(rest(named.withColumn("component", F.coalesce("component", "rep")), classes.select("rep", "size"), seqs, similarity))
+    if not left.isEmpty():
+        # The stars stand for all links before.
+        component = connected_components(component.select(F.col("node").alias("a"), F.col("component").alias("b")).union(left))
     joined = salted_join(rows, component.withColumnRenamed("node", "exact_id"), "exact_id", [F.col("doc_id")], "left")
     return joined.select(
         "doc_id", "exact_id", F.coalesce("component", "exact_id").alias("class_id"), (F.col("doc_id") == F.coalesce("component", "exact_id")).alias("kept")
