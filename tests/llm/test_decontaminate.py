@@ -47,3 +47,28 @@ def test_clean_documents_stay(spark):
     assert kept.columns == d.columns and sorted(r["doc_id"] for r in kept.collect()) == sorted(i for i, _, ks in docs if not ks)
     assert dc.decontaminate(d, items.limit(0)).count() == len(docs) and dc.find_overlaps(d, items.limit(0)).isEmpty()
     assert dc.find_overlaps(d.limit(0), items).isEmpty()
+
+
+def test_adjacent_substitutions():
+    for left, gap, right in ((6, 2, 7), (7, 2, 6), (7, 3, 8), (8, 3, 9), (9, 3, 9)):
+        item = [f"w{i}" for i in range(left + gap + right)]
+        index = dc.SeedIndex([7], [" ".join(item)])
+        changed = item[:left] + [f"x{i}" for i in range(gap)] + item[left + gap :]
+        doc = dc.Words([" ".join(["before"] * 5 + changed + ["after"] * 5)]).hashes
+        assert index.overlaps(doc) == [(7, 5, 0, len(item), left + right)]
+
+
+def test_every_stretch_of_a_diagonal():
+    item = [f"w{i}" for i in range(90)]
+    changed = item[:20] + [f"x{i}" for i in range(30)] + item[50:57] + ["y0", "y1"] + item[59:65] + [f"z{i}" for i in range(25)]
+    found = dc.SeedIndex([7], [" ".join(item)]).overlaps(dc.Words([" ".join(changed)]).hashes)
+    # The first stretch, then the second with what differs around it cut off.
+    assert [(x[1], x[3], x[4]) for x in found] == [(0, 20, 20), (50, 15, 13)]
+
+
+def test_stretches_equal_the_rule():
+    r = random.Random(2)
+    for _ in range(300):
+        same = dc.np.array([r.random() < r.choice((0.3, 0.8, 0.9)) for _ in range(r.randint(0, 45))], dtype=bool)
+        any_ = any(same[i:j].sum() * 10 >= 8 * (j - i) for i in range(len(same)) for j in range(i + dc.MIN_WORDS, len(same) + 1))
+        assert bool(dc.stretches(same)) == any_

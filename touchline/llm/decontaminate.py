@@ -2,8 +2,9 @@
 
 Fixed masks ignore chosen token positions, so a seed still hits where a substituted word falls
 on an ignored place. Seeds of the benchmark are joined with seeds at every position of every
-document; around a hit the two texts are compared word by word on the hit's diagonal, and the
-best stretch is an overlap if it has at least ``MIN_WORDS`` words of which ``IDENTITY`` agree.
+document; around a hit the two texts are compared word by word on the hit's diagonal, and every
+stretch of at least ``MIN_WORDS`` words of which ``IDENTITY`` agree is an overlap: the
+best-scoring one first, else the longest, then those beside it (see ``stretches``).
 
 Scale. The benchmark is read in blocks of at most ``BLOCK_CHARS`` characters; a block's seeds are
 broadcast (their number is bounded by the block), each block is one pass without a shuffle, and a
@@ -48,6 +49,49 @@ def seed_hashes(words: np.ndarray, mask: str) -> np.ndarray:
     return mix64(total, seed=len(mask))
 
 
+def _best(same: np.ndarray) -> tuple[int, int]:
+    """The stretch of highest score, 1 for an equal word and -``_MISS`` for another."""
+    score = np.concatenate(([0.0], np.cumsum(np.where(same, 1.0, -_MISS))))
+    low = np.minimum.accumulate(score)
+    stop = int(np.argmax(score - low))
+    return int(np.flatnonzero(score[: stop + 1] == low[stop])[-1]), stop
+
+
+def _longest(same: np.ndarray) -> tuple[int, int]:
+    """The longest stretch of which ``IDENTITY`` agree; different words at its ends are left out down to ``MIN_WORDS`` words."""
+    # In whole hundredths, so that a share of exactly IDENTITY counts.
+    share = round(100 * IDENTITY)
+    score = np.concatenate(([0], np.cumsum(np.where(same, 100 - share, -share))))
+    # For each end the first start that scores no higher: the minima so far fall, so theirs can be searched.
+    starts = np.searchsorted(-np.minimum.accumulate(score), -score, "left")
+    stop = int(np.argmax(np.arange(len(score)) - starts))
+    start = int(starts[stop])
+    while stop - start > MIN_WORDS and not same[stop - 1]:
+        stop -= 1
+    while stop - start > MIN_WORDS and not same[start]:
+        start += 1
+    return start, stop
+
+
+def stretches(same: np.ndarray) -> list[tuple[int, int]]:
+    """Stretches (start, stop) of at least ``MIN_WORDS`` words of which ``IDENTITY`` agree, none overlapping.
+
+    What is left beside them holds no such stretch.
+    """
+    out, open_ = [], [(0, len(same))]
+    while open_:
+        begin, end = open_.pop()
+        if end - begin < MIN_WORDS:
+            continue
+        for pick in (_best, _longest):
+            start, stop = pick(same[begin:end])
+            if stop - start >= MIN_WORDS and same[begin + start : begin + stop].sum() >= IDENTITY * (stop - start):
+                out.append((begin + start, begin + stop))
+                open_ += [(begin, begin + start), (begin + stop, end)]
+                break
+    return sorted(out)
+
+
 class SeedIndex:
     """Sorted seeds of one block of benchmark items, with a bit table that rejects most probes at once."""
 
@@ -98,13 +142,8 @@ class SeedIndex:
             same = own[begin:end] == doc[begin + shift : end + shift]
             if len(own) < MIN_WORDS:
                 continue
-            score = np.concatenate(([0.0], np.cumsum(np.where(same, 1.0, -_MISS))))
-            low = np.minimum.accumulate(score)
-            stop = int(np.argmax(score - low))
-            start = int(np.flatnonzero(score[: stop + 1] == low[stop])[-1])
-            equal = int(same[start:stop].sum())
-            if stop - start >= MIN_WORDS and equal >= IDENTITY * (stop - start):
-                out.append((int(self.ids[item]), begin + shift + start, begin + start, stop - start, equal))
+            for start, stop in stretches(same):
+                out.append((int(self.ids[item]), begin + shift + start, begin + start, stop - start, int(same[start:stop].sum())))
         if self.short:
             keys = np.array(sorted(self.short), dtype=np.uint64)
             for at in np.flatnonzero(np.isin(doc, keys)).tolist():
