@@ -48,3 +48,21 @@ def test_empty_and_unusable(spark):
 
 def test_passes_grow_slowly():
     assert ed.passes_for(1) >= 4 and ed.passes_for(10**4) < ed.passes_for(10**6) < 80
+
+
+def test_copies_and_pairs_in_a_dense_cluster(spark):
+    r = np.random.default_rng(7)
+    c = np.ones(32)
+    bases = [c + r.normal(size=32) * 0.45 for _ in range(60)]
+    pairs = [(b, b + r.normal(size=32) * 0.25) for b in bases]
+    unit = np.array([v / np.linalg.norm(v) for p in pairs for v in p])
+    links = (unit @ unit.T >= 0.951).astype(int)
+    assert ((unit @ unit.T >= 0.949).astype(int) == links).all()
+    copies = 12
+    rows = [(j * 120 + i, pairs[i // 2][i % 2].tolist()) for i in range(120) for j in range(copies)]
+    label = list(range(120))
+    for _ in label:
+        label = [min(label[k] for k in np.flatnonzero(links[i])) for i in range(120)]
+    got = result(spark, rows, window=8)
+    assert sum(links.sum(axis=1) > 1) > 40
+    assert got == {i: (int(links[i % 120].sum()) * copies - 1, label[i % 120], i == label[i % 120]) for i, _ in rows}

@@ -4,7 +4,10 @@ In each pass every vector gets the signs of ``BITS`` random projections, and the
 by them (lexicographic order of the concatenated hashes). Each is compared, by cosine in double
 precision, with the ``WINDOW`` vectors before it; verified pairs are united across passes. The
 number of passes follows from the number of vectors so that a pair at the threshold is missed with
-a probability of at most ``MISS`` (see ``passes_for``).
+a probability of at most ``MISS`` (see ``passes_for``). Equal vectors are one in the passes. Where more
+than ``WINDOW`` vectors share the leading signs that the number of passes counts on, as in a dense
+cluster, all of them are compared, block by block, so the probability holds for any table; the
+blocks that meet grow with the square of such a run.
 
 All links of a vector lie inside its group, so the number of its links is then counted there
 exactly: small groups by comparing all members; a group of more than ``EXACT`` members first by its
@@ -38,6 +41,8 @@ WINDOW = 128
 MISS = 1e-4
 EXACT = 200
 BLOCK = 200
+#: Members of a run of common signs that are compared as one block.
+RUN_BLOCK = 1000
 
 
 def passes_for(n: int, cosine: float = COSINE, window: int = WINDOW, miss: float = MISS) -> int:
@@ -51,6 +56,11 @@ def passes_for(n: int, cosine: float = COSINE, window: int = WINDOW, miss: float
     return max(4, math.ceil(math.log(miss) / math.log1p(-min(hit, 0.95))))
 
 
+def shared_bits(n: int, window: int = WINDOW) -> int:
+    """Leading signs that ``passes_for`` counts on."""
+    return int(max(0.0, math.log2(max(1, n) / window)) + 1)
+
+
 def directions(passes: int, dim: int) -> np.ndarray:
     return np.random.default_rng(20_240_229).normal(size=(passes, BITS, dim))
 
@@ -67,7 +77,7 @@ def unit_vectors(vectors: DataFrame) -> DataFrame:
                 x = np.asarray(v, dtype=np.float64)
                 top = np.abs(x).max()
                 if np.isfinite(top) and top > 0:
-                    x = x / top
+                    x = x / top + 0.0  # no negative zeros: equal vectors have equal bytes
                     ids.append(i)
                     units.append((x / np.sqrt(x @ x)).tobytes())
             yield pd.DataFrame({"vec_id": pd.Series(ids, dtype="int64"), "unit": units})
@@ -114,6 +124,38 @@ def _window_pairs(x: np.ndarray, old: int, window: int, cosine: float) -> tuple[
     return (np.concatenate(found_i), np.concatenate(found_j)) if found_i else (np.zeros(0, int), np.zeros(0, int))
 
 
+def _spanning(ids: np.ndarray, hit: np.ndarray) -> list[tuple[int, int]]:
+    """Edges of a spanning forest of the symmetric matrix ``hit``."""
+    out, fresh = [], np.ones(len(ids), dtype=bool)
+    for s in range(len(ids)):
+        stack = [s] if fresh[s] else []
+        fresh[s] = False
+        while stack:
+            r = stack.pop()
+            new = np.flatnonzero(hit[r] & fresh)
+            fresh[new] = False
+            out += [(int(ids[r]), int(ids[k])) for k in new]
+            stack += new.tolist()
+    return out
+
+
+def dense_run_edges(units: DataFrame, keys: DataFrame, bits: int, cosine: float, window: int) -> DataFrame:
+    """Edges (a, b) that connect the linked pairs in runs of ``keys(pass, key, vec_id)`` with over ``window`` rows of ``bits`` common signs."""
+    keys = materialize(keys.select(F.struct("pass", F.shiftright("key", BITS - bits).alias("prefix")).alias("run"), "vec_id"))
+    runs = keys.groupBy("run").agg(F.count("*").alias("n")).filter(F.col("n") > window)
+    rows = salted_join(keys, runs, "run", [F.col("vec_id")])
+    blocks = F.ceil(F.col("n") / RUN_BLOCK).cast("int")
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("vec_id"), blocks).cast("int"))
+    rows = rows.select("run", "vec_id", "own", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
+    rows = rows.select("run", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "vec_id")
+
+    def all_pairs(pdf: pd.DataFrame) -> pd.DataFrame:
+        x = _stack(pdf["unit"].tolist())
+        return pd.DataFrame(_spanning(pdf["vec_id"].to_numpy(dtype=np.int64), x @ x.T >= cosine), columns=["a", "b"], dtype="int64")
+
+    return rows.join(units, "vec_id").groupBy("run", "lo", "hi").applyInPandas(all_pairs, "a long, b long")
+
+
 def sorted_pass_edges(units: DataFrame, n: int, dim: int, cosine: float = COSINE, window: int = WINDOW) -> DataFrame:
     """Edges (a, b) of a spanning forest of all pairs verified in any pass."""
     passes = passes_for(n, cosine, window)
@@ -129,6 +171,10 @@ def sorted_pass_edges(units: DataFrame, n: int, dim: int, cosine: float = COSINE
                     key = ((x @ planes.value[p].T >= 0) @ weights).astype(np.int64)
                     yield pd.DataFrame({"pass": np.int32(p), "key": key, "vec_id": batch["vec_id"], "unit": batch["unit"]})
 
+    def keys_only(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in keyed(batches):
+            yield part[["pass", "key", "vec_id"]]
+
     # A partition holds many windows; the number depends on the rows alone.
     partitions = max(1, min(4096, n * passes // (64 * window)))
     dealt = (
@@ -166,7 +212,8 @@ def sorted_pass_edges(units: DataFrame, n: int, dim: int, cosine: float = COSINE
         return pd.DataFrame(_forest(ids, i, j), columns=["a", "b"], dtype="int64")
 
     borders = out.filter("border >= 0").groupBy("border").applyInPandas(across, "a long, b long")
-    return out.filter("border = -1").select("a", "b").union(borders)
+    dense = dense_run_edges(units, units.mapInPandas(keys_only, "pass int, key long, vec_id long"), shared_bits(n, window), cosine, window)
+    return out.filter("border = -1").select("a", "b").union(borders).union(dense)
 
 
 def count_links(grouped: DataFrame, cosine: float = COSINE) -> DataFrame:
@@ -237,9 +284,13 @@ def near_duplicate_vectors(vectors: DataFrame, cosine: float = COSINE, window: i
     plain = everyone.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), (F.col("vec_id") == F.col("vec_id")).alias("kept"))
     if shape is None:
         return plain
-    dim, n = shape["dim"], shape["count"]
+    dim = shape["dim"]
     usable = units.filter(F.length("unit") == 8 * dim)
-    found = materialize(connected_components(sorted_pass_edges(usable, n, dim, cosine, window)))
+    firsts = materialize(usable.groupBy("unit").agg(F.min("vec_id").alias("vec_id"), F.count("*").alias("copies")))
+    copied = firsts.filter("copies > 1").select("unit", F.col("vec_id").alias("b"))
+    copies = salted_join(usable, copied, "unit", [F.col("vec_id")]).select(F.col("vec_id").alias("a"), "b").filter("a <> b")
+    edges = sorted_pass_edges(firsts.select("vec_id", "unit"), firsts.count(), dim, cosine, window)
+    found = materialize(connected_components(edges.union(copies)))
     if found.isEmpty():
         return plain
     grouped = usable.join(found.withColumnRenamed("node", "vec_id"), "vec_id")
