@@ -9,18 +9,13 @@ from touchline.llm import near_dedup as nd
 from touchline.llm.common import Words, connected_components
 
 
-def shingles(text):
-    words = re.findall(r"(?:[a-z0-9]|[^\x00-\x7f])+", (text or "").lower())
-    seen, out = Counter(), []
-    for g in [tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))] if words else []:
-        out.append((g, seen[g]))
-        seen[g] += 1
-    return out
+def words_of(text):
+    return re.findall(r"(?:[a-z0-9]|[^\x00-\x7f])+", (text or "").lower())
 
 
 def similarity(a, b):
-    """Longest common subsequence of labelled shingles, by dynamic programming."""
-    a, b = shingles(a), shingles(b)
+    """Longest common subsequence of words, by dynamic programming."""
+    a, b = words_of(a), words_of(b)
     if not a and not b:
         return 1.0
     row = [0] * (len(b) + 1)
@@ -71,12 +66,34 @@ def test_equals_brute_force(spark):
 
 def test_alignment_is_exact():
     texts = [t for _, t in made(9)][:40]
-    labelled, bounds = nd.labelled_shingles(Words(texts))
-    seqs = [(labelled[bounds[i] : bounds[i + 1]] >> np.uint64(32)).astype("<u4") for i in range(len(texts))]
+    seqs = word_hashes(texts)
     for i, j in itertools.combinations(range(len(texts)), 2):
         assert nd.aligned(seqs[i], seqs[j]) == (similarity(texts[i], texts[j]) >= 0.8)
 
 
+def word_hashes(texts):
+    words = Words(texts)
+    return [(words.hashes[words.bounds[i] : words.bounds[i + 1]] >> np.uint64(32)).astype("<u4") for i in range(len(texts))]
+
+
+def test_common_words_in_blocks():
+    r = random.Random(8)
+    for _ in range(60):
+        texts = [" ".join(r.choice("abcdefg") for _ in range(r.randint(0, 60))) for _ in range(2)]
+        a, b = word_hashes(texts)
+        s = similarity(*texts)
+        common = round(s * (len(a) + len(b)) / (1 + s)) if len(a) + len(b) else 0
+        assert nd.common_words(a, b, 100, block=7) == nd.common_words(a, b, 100) == common
+
+
+def test_very_long_texts_align():
+    r = random.Random(4)
+    a = np.array([r.randrange(5000) for _ in range(30_000)], dtype="<u4")
+    b = np.delete(a, r.sample(range(30_000), 2500))
+    b[r.sample(range(len(b)), 600)] = 9999
+    assert nd.aligned(a, b) and not nd.aligned(a, np.concatenate((a[6000:], a[:6000])))
+
+
 def test_large_group_stays_together(spark):
     r = random.Random(1)
     base = [f"w{i}" for i in range(300)]
@@ -125,3 +142,31 @@ def test_blocks_meet(spark, monkeypatch):
     monkeypatch.setattr(nd, "BLOCK", 7)
     test_pairs_under_a_shared_passage(spark)
     test_equals_brute_force(spark)
+
+
+def test_template_with_own_parts(spark):
+    """Each own part stands in two documents; any two documents share a template of 264 of 300 words."""
+    r = random.Random(6)
+    template = [f"t{i}" for i in range(264)]
+    rows = []
+    for i in range(500):
+        own = [f"o{i % 250}x{j}" for j in range(36)]
+        words = template[:]
+        for j in range(0, 36):
+            words.insert(8 * j, own[j])
+        if i >= 250:
+            words[r.randrange(300)] = f"new{i}"
+        rows.append((i, " ".join(words)))
+    assert similarity(rows[0][1], rows[1][1]) < 0.8 <= similarity(rows[0][1], rows[250][1])
+    assert result(spark, rows) == {i: i % 250 for i in range(500)}
+
+
+def test_recall_on_the_tables(spark, sf_dir):
+    """All pairs by brute force on the whole small table: every linked pair shares a class."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    rows = docs.select("doc_id", "text").collect()
+    got = {r["doc_id"]: r["class_id"] for r in nd.near_duplicates(docs).collect()}
+    seqs = word_hashes([r["text"] for r in rows])
+    linked = [(a["doc_id"], b["doc_id"]) for (a, x), (b, y) in itertools.combinations(zip(rows, seqs, strict=True), 2) if nd.aligned(x, y)]
+    assert all(got[a] == got[b] for a, b in linked)
+    assert len(set(got.values())) >= len(rows) - len(linked)

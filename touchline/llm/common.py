@@ -1,4 +1,4 @@
-"""Shared helpers: shared-storage materialisation, salted joins, connected components, word hashing."""
+"""Shared helpers: shared-storage materialisation, joins over hot keys, connected components, word hashing."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ import tempfile
 import uuid
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Number of salts used wherever one key may hold a large share of all rows.
@@ -16,23 +16,37 @@ DOC_SCHEMA = "doc_id long, text string"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder shared by driver and executors: ``spark.checkpoint.dir``; a temporary one only where that is unset (tests)."""
+    """Folder shared by driver and executors: ``spark.checkpoint.dir``.
+
+    Only a local master, as in tests, may do without; there a temporary folder is set.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not spark.conf.get("spark.master", "").startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = "file://" + tempfile.mkdtemp(prefix="touchline-")
         spark.conf.set("spark.checkpoint.dir", configured)
     return configured
 
 
+#: Spark's own setting to remove the shuffle files of an execution once it has ended.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Cut lineage: write ``df`` as Parquet in the shared folder and read it back.
 
-    A lost executor never forces recomputation past this point, and a column that is
-    not needed later is not read again.
+    A lost executor never forces recomputation past this point, a column that is not needed later
+    is not read again, and the shuffle files of the steps before are removed.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/touchline-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -44,15 +58,18 @@ def salt_of(*cols: Column, salts: int = SALTS) -> Column:
     return F.pmod(F.xxhash64(*cols), F.lit(salts)).cast("int")
 
 
-def salted_join(
+def skewed_join(
     big: DataFrame, small: DataFrame, key: str, spread: list[Column], how: str = "inner", salts: int = SALTS
 ) -> DataFrame:
-    """Equi-join where one ``key`` value may hold a third of ``big``.
+    """Equi-join where one ``key`` value may hold a third of ``big``; ``small`` is unique on ``key``.
 
-    ``big`` rows are dealt over ``salts`` sub-keys by a hash of ``spread``; ``small``
-    (unique on ``key``) is repeated once per sub-key, so no task gets a whole hot key. Never
-    a broadcast: ``small`` may grow with the data, and its repeats are not in Spark's estimate.
+    A merge join, never a broadcast, since ``small`` may grow with the data. Adaptive execution
+    splits the partition of a hot key. Where a session has that turned off, ``big`` rows are dealt
+    over ``salts`` sub-keys by a hash of ``spread`` and ``small`` is repeated once per sub-key.
     """
+    conf = big.sparkSession.conf
+    if all(conf.get(f"spark.sql.adaptive.{x}", "true") == "true" for x in ("enabled", "skewJoin.enabled")):
+        return big.join(small.hint("merge"), key, how)
     left = big.withColumn("_salt", salt_of(*spread, salts=salts))
     right = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))).hint("merge")
     return left.join(right, [key, "_salt"], how).drop("_salt")
@@ -61,39 +78,28 @@ def salted_join(
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(node, component) for every node of ``edges(a, b)``; component = smallest node reachable.
 
-    Alternating large-star and small-star steps until every component is a star (one aggregation
-    tells: no node has two centres, no centre has one). Each step aggregates with map-side combine
-    and joins back through salted keys, so a hub with a third of all edges is spread over many
-    tasks. Nothing is collected. Null ends and self loops are ignored; empty input gives no rows.
+    An edge leads from its larger end, the child, to the smaller one, the parent. A round links each
+    child to its smallest parent alone and its other parents to that one, then every child to its
+    parent's smallest parent; it ends when nothing moves, so all are stars. A node is dealt by its
+    number of parents; children of a hub, a third of all edges maybe, meet the hub's parent in
+    ``skewed_join``. Rounds grow with the logarithm of the longest chain, and no round makes more
+    edges. Nothing is collected. Null ends and self loops are ignored; empty input gives no rows.
     """
-
-    def star(e: DataFrame, large: bool) -> DataFrame:
-        rows = e.union(e.select("b", "a")) if large else e
-        low = rows.groupBy("a").agg(F.min("b").alias("m"))
-        low = low.select("a", F.least("a", "m").alias("m")) if large else low
-        joined = salted_join(rows.filter("b > a") if large else rows, low, "a", [F.col("b")])
-        moved = joined.select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b")
-        return materialize(moved.union(low.filter("a <> m").select("a", F.col("m").alias("b"))).distinct())
-
-    def settled(e: DataFrame) -> bool:
-        ends = e.select(F.col("a").alias("node"), F.lit(1).alias("child"), F.lit(0).alias("centre")).union(e.select("b", F.lit(0), F.lit(1)))
-        per = ends.groupBy("node").agg(F.sum("child").alias("child"), F.max("centre").alias("centre"))
-        return per.filter("child > 1 or (child = 1 and centre = 1)").isEmpty()
-
-    current = materialize(
-        edges.filter("a is not null and b is not null and a <> b")
-        .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        .distinct()
-    )
+    by_child = Window.partitionBy("a").orderBy("b")
+    current = edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     for _ in range(max_rounds):
-        if settled(current):
+        ranked = current.select("a", "b", F.first("b").over(by_child).alias("least"), F.lag("b").over(by_child).alias("before")).filter("before is null or before <> b")
+        other = F.col("before").isNotNull()
+        single = ranked.select(F.when(other, F.col("b")).otherwise(F.col("a")).alias("a"), F.col("least").alias("b"), other.alias("moved"))
+        up = single.groupBy(F.col("a").alias("b")).agg(F.min("b").alias("up"))
+        jumped = skewed_join(single, up, "b", [F.col("a")], "left")
+        current = materialize(jumped.select("a", F.coalesce("up", "b").alias("b"), (F.col("moved") | F.col("up").isNotNull()).alias("moved")))
+        if current.filter("moved").isEmpty():
             break
-        current = star(star(current, True), False)
     else:
         raise RuntimeError("connected components did not settle")
-    return current.withColumnsRenamed({"a": "node", "b": "component"}).union(
-        current.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
-    )
+    stars = current.select(F.col("a").alias("node"), F.col("b").alias("component"))
+    return stars.union(stars.select(F.col("component").alias("node"), "component").distinct())
 
 
 # ---------------------------------------------------------------- word hashing (numpy)

@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from touchline.llm.common import connected_components, materialize, salted_join
+from touchline.llm.common import connected_components, materialize, skewed_join
 
 COSINE = 0.95
 BITS = 60
@@ -143,7 +143,7 @@ def dense_run_edges(units: DataFrame, keys: DataFrame, bits: int, cosine: float,
     """Edges (a, b) that connect the linked pairs in runs of ``keys(pass, key, vec_id)`` with over ``window`` rows of ``bits`` common signs."""
     keys = materialize(keys.select(F.struct("pass", F.shiftright("key", BITS - bits).alias("prefix")).alias("run"), "vec_id"))
     runs = keys.groupBy("run").agg(F.count("*").alias("n")).filter(F.col("n") > window)
-    rows = salted_join(keys, runs, "run", [F.col("vec_id")])
+    rows = skewed_join(keys, runs, "run", [F.col("vec_id")])
     blocks = F.ceil(F.col("n") / RUN_BLOCK).cast("int")
     rows = rows.withColumn("own", F.pmod(F.xxhash64("vec_id"), blocks).cast("int"))
     rows = rows.select("run", "vec_id", "own", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
@@ -219,7 +219,7 @@ def sorted_pass_edges(units: DataFrame, n: int, dim: int, cosine: float = COSINE
 def count_links(grouped: DataFrame, cosine: float = COSINE) -> DataFrame:
     """(vec_id, n_links) of ``grouped(vec_id, unit, component)``, exact within each component."""
     sizes = grouped.groupBy("component").agg(F.count("*").alias("size"))
-    held = materialize(salted_join(grouped, sizes, "component", [F.col("vec_id")]))
+    held = materialize(skewed_join(grouped, sizes, "component", [F.col("vec_id")]))
 
     def all_pairs(pdf: pd.DataFrame) -> pd.DataFrame:
         x = _stack(pdf["unit"].tolist())
@@ -239,7 +239,7 @@ def count_links(grouped: DataFrame, cosine: float = COSINE) -> DataFrame:
     totals = large.mapInPandas(partial, "component long, total array<double>").select("component", F.posexplode("total").alias("k", "x"))
     sums = totals.groupBy("component", "k").agg(F.sum("x").alias("x"))
     centre = sums.groupBy("component").agg(F.transform(F.array_sort(F.collect_list(F.struct("k", "x"))), lambda s: s["x"]).alias("centre"))
-    near = salted_join(large, centre, "component", [F.col("vec_id")])
+    near = skewed_join(large, centre, "component", [F.col("vec_id")])
     # Two vectors within half the angle of a centre are within the angle of each other; the margin is far above rounding.
     half = math.cos(math.acos(cosine) / 2) + 1e-9
 
@@ -251,7 +251,7 @@ def count_links(grouped: DataFrame, cosine: float = COSINE) -> DataFrame:
                 yield pd.DataFrame({"component": batch["component"], "near": (x * c).sum(axis=1) / np.where(size > 0, size, 1)})
 
     proven = near.mapInPandas(within, "component long, near double").groupBy("component").agg(F.min("near").alias("least"))
-    marked = materialize(salted_join(large, proven, "component", [F.col("vec_id")]))
+    marked = materialize(skewed_join(large, proven, "component", [F.col("vec_id")]))
     cliques = marked.filter(F.col("least") >= half).select("vec_id", (F.col("size") - 1).alias("n_links"))
     open_ = marked.filter(F.col("least") < half)
     if open_.isEmpty():
@@ -288,7 +288,7 @@ def near_duplicate_vectors(vectors: DataFrame, cosine: float = COSINE, window: i
     usable = units.filter(F.length("unit") == 8 * dim)
     firsts = materialize(usable.groupBy("unit").agg(F.min("vec_id").alias("vec_id"), F.count("*").alias("copies")))
     copied = firsts.filter("copies > 1").select("unit", F.col("vec_id").alias("b"))
-    copies = salted_join(usable, copied, "unit", [F.col("vec_id")]).select(F.col("vec_id").alias("a"), "b").filter("a <> b")
+    copies = skewed_join(usable, copied, "unit", [F.col("vec_id")]).select(F.col("vec_id").alias("a"), "b").filter("a <> b")
     edges = sorted_pass_edges(firsts.select("vec_id", "unit"), firsts.count(), dim, cosine, window)
     found = materialize(connected_components(edges.union(copies)))
     if found.isEmpty():

@@ -1,44 +1,48 @@
 """MinHash near-dedup by Order MinHash, verified by banded alignment.
 
-A document is its sequence of 5-word shingles, each labelled with its occurrence number in the
-document. A sketch is the ``PICK`` shingles of least hash, kept in text order, so equal sketches
-need equal shingles in equal order (edit similarity rather than set overlap). Documents that
-share one of ``SKETCHES`` sketches are candidates; a pair is linked if the alignment of the two
-sequences (longest common subsequence within a band) has ``common / (a + b - common) >= 0.8``.
-
-Scale. Equal texts are collapsed first, so copies are never paired. In a bucket each member is
-compared with the bucket's first member and with the member before it. Then every pair that still
-shares a bucket and is not connected is asked (``rest``): blocks of at most about ``BLOCK`` members
-meet block by block, only where lengths allow a link; a group of more than ``BLOCK`` members has
-blocks of its own, which do not meet each other. No bucket is capped. Blocks that meet grow with
-the square of the unrelated documents of like length in one bucket.
+A document is its sequence of words. A sketch is the ``PICK`` shingles of five words, each labelled
+with its occurrence number in the document, of least hash, kept in text order, so equal sketches need
+equal shingles in equal order (edit similarity rather than set overlap). Documents that share one of
+``SKETCHES`` sketches are candidates; a pair is linked if the alignment of the two word sequences
+(longest common subsequence within the band that the similarity allows) has
+``common / (a + b - common) >= 0.8``. Every pair whose shingles reach 0.8 is among them: in order, c
+common shingles hold at least c + 4 common words.
+
+Pairs of which a share j of all labelled shingles is common share a sketch with a probability of
+about ``1 - (1 - j ** PICK) ** SKETCHES``: 0.999 at 0.55, 0.97 at 0.4. Texts of a few dozen words can
+reach 0.8 with fewer common shingles; such pairs may be missed.
+
+Scale. Equal texts are collapsed first, so copies are never paired. Each member of a bucket is
+compared with the bucket's first. Then every pair that shares a bucket and is not connected is asked
+(``rest``): blocks of at most ``BLOCK`` members and about ``BLOCK_WORDS`` words meet block by block, only
+where lengths allow a link; a group of more than a block has blocks of its own, which do not meet each
+other. No bucket is capped. Blocks that meet grow with the square of the unrelated documents of like
+length in one bucket.
 
 Null and empty texts are equal texts. Texts of fewer than five words have one shingle, all their
-words. Rows with a null doc_id are left out of the grouping. Repeated rows give repeated results.
+words. Rows with a null doc_id are left out of the grouping. Repeated rows give repeated results; a
+doc_id with several texts is one document, linked by any of them.
 """
 
 from __future__ import annotations
 
 import math
-from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from touchline.llm.common import Words, batches_by_size, connected_components, grams, materialize, mix64, salt_of, salted_join
+from touchline.llm.common import Words, batches_by_size, connected_components, grams, materialize, mix64, salt_of, skewed_join
 
 SHINGLE = 5
 SIMILARITY = 0.8
-SKETCHES = 12
+SKETCHES = 20
 PICK = 2
-#: Members of a bucket that are put in order together.
-RUN = 1000
-#: Members of a bucket that meet another block together.
+#: Members, and words, of a bucket that meet another block together.
 BLOCK = 500
-_SCALE = [int(x) | 1 for x in mix64(np.arange(SKETCHES, dtype=np.uint64), seed=7)]
+BLOCK_WORDS = 1_000_000
 
 
 def labelled_shingles(words: Words, k: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -58,44 +62,62 @@ def labelled_shingles(words: Words, k: int = SHINGLE) -> tuple[np.ndarray, np.nd
         g[bounds[i]] = mix64(grams(np.concatenate((own, np.zeros(k, dtype=np.uint64))), k)[:1], seed=len(own))[0]
     with np.errstate(over="ignore"):
         key = g ^ mix64(doc.astype(np.uint64), seed=3)
-        order = np.argsort(key, kind="stable")
-        ranked = key[order]
-        new = np.concatenate(([True], ranked[1:] != ranked[:-1]))
-        first = np.flatnonzero(new)
-        occurrence = np.empty(total, dtype=np.uint64)
-        occurrence[order] = np.arange(total) - np.repeat(first, np.diff(np.append(first, total)))
-        return mix64(g + occurrence * np.uint64(0xD6E8FEB86659FD93)), bounds
+        order = np.argsort(key)
+        again = key[order[1:]] == key[order[:-1]]
+        # Only shingles that come more than once in a document have other numbers than 0, in text order.
+        several = np.sort(order[np.concatenate((again, [False])) | np.concatenate(([False], again))])
+        several = several[np.argsort(key[several], kind="stable")]
+        first = np.flatnonzero(np.concatenate(([True], key[several][1:] != key[several][:-1]))) if len(several) else several
+        number = np.arange(len(several)) - np.repeat(first, np.diff(np.append(first, len(several))))
+        g[several] += number.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+        return mix64(g), bounds
 
 
 def order_min_hashes(labelled: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """(documents, SKETCHES) sketch keys; documents without shingles get zeros."""
+    """(documents, SKETCHES) sketch keys; documents without shingles get zeros.
+
+    One hash deals a document's shingles over ``SKETCHES`` bins and orders each bin. A sketch is the
+    ``PICK`` least shingles of a bin, of those after it (in a circle) where it has fewer.
+    """
     n = len(bounds) - 1
     out = np.zeros((n, SKETCHES), dtype=np.uint64)
-    filled = np.flatnonzero(np.diff(bounds))
+    counts = np.diff(bounds)
+    filled = np.flatnonzero(counts)
     if not len(filled):
         return out
-    starts, counts = bounds[:-1][filled], np.diff(bounds)[filled]
-    for j in range(SKETCHES):
-        with np.errstate(over="ignore"):
-            v = labelled * np.uint64(_SCALE[j])
-        picked = []
-        for _ in range(PICK):
-            low = np.minimum.reduceat(v, starts)
-            hit = np.flatnonzero(v == np.repeat(low, counts))
-            own = np.searchsorted(starts, hit, side="right") - 1
-            at = hit[np.concatenate(([True], own[1:] != own[:-1]))]
-            picked.append(at)
-            v[at] = np.uint64(0xFFFFFFFFFFFFFFFF)
-        places = np.sort(np.stack(picked), axis=0)
-        key = np.zeros(len(filled), dtype=np.uint64)
-        for row in places:
-            key = mix64(key ^ labelled[row], seed=j + 11)
-        out[filled, j] = key
+    spread = mix64(labelled, seed=7)
+    group = np.repeat(np.arange(n) * SKETCHES, counts) + (spread % np.uint64(SKETCHES)).astype(np.int64)
+    order = np.argsort((group.astype(np.uint64) << np.uint64(32)) | (spread >> np.uint64(32)))
+    size = np.bincount(group, minlength=n * SKETCHES).reshape(n, SKETCHES)[filled]
+    before = np.concatenate(([0], np.cumsum(size)))[:-1].reshape(size.shape)
+    # The k-th shingle of a bin and those after it is number ``rest`` of bin ``at``.
+    at = np.tile(np.arange(SKETCHES), (len(filled), 1))
+    rest, row = np.zeros_like(at), np.arange(len(filled))[:, None]
+    picked = np.empty((PICK, *size.shape), dtype=np.int64)
+    whole = np.repeat(counts[filled][:, None], SKETCHES, axis=1)
+    for k in range(PICK):
+        # A document of fewer shingles than PICK has them once more.
+        for _ in range(SKETCHES):
+            empty = rest >= size[row, at]
+            if not empty.any():
+                break
+            rest[empty] = 0
+            at[empty] = (at[empty] + 1) % SKETCHES
+        picked[k] = order[before[row, at] + rest]
+        rest += whole > k
+    places = np.sort(picked, axis=0)
+    key = np.broadcast_to(mix64(np.arange(SKETCHES, dtype=np.uint64), seed=11), size.shape)
+    for p in places:
+        key = mix64(key ^ labelled[p], seed=13)
+    out[filled] = key
     return out
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """(doc_id, f1, f2, sketch) of ``docs(doc_id, text)``; (f1, f2) fingerprint the whole word sequence."""
+    """(doc_id, f1, f2, n, sketch, seq) of ``docs(doc_id, text)``.
+
+    (f1, f2) fingerprint the whole word sequence; n: its words; seq: their hashes, four bytes each.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -103,88 +125,88 @@ def sketches(docs: DataFrame) -> DataFrame:
                 words = Words(part["text"].tolist())
                 labelled, bounds = labelled_shingles(words)
                 keys = order_min_hashes(labelled, bounds).view(np.int64)
-                prints = []
-                for i in range(len(part)):
-                    own = words.hashes[words.bounds[i] : words.bounds[i + 1]]
-                    with np.errstate(over="ignore"):
-                        steps = mix64(own ^ mix64(np.arange(len(own), dtype=np.uint64), seed=5))
-                        prints.append((int(steps.sum(dtype=np.uint64)), int(mix64(steps, seed=9).sum(dtype=np.uint64))))
-                sums = np.array(prints, dtype=np.uint64).reshape(-1, 2).view(np.int64)
-                yield pd.DataFrame(
-                    {"doc_id": part["doc_id"].to_numpy(), "f1": sums[:, 0], "f2": sums[:, 1], "n": np.diff(bounds), "sketch": list(keys)}
-                )
+                small = (words.hashes >> np.uint64(32)).astype("<u4")
+                n = np.diff(words.bounds)
+                place = np.arange(len(words.hashes)) - np.repeat(words.bounds[:-1], n)
+                with np.errstate(over="ignore"):
+                    steps = mix64(words.hashes ^ mix64(place.astype(np.uint64), seed=5))
+                    prints = [np.concatenate(([0], np.cumsum(x))).astype(np.uint64)[words.bounds] for x in (steps, mix64(steps, seed=9))]
+                    f1, f2 = (np.diff(x).view(np.int64) for x in prints)
+                seqs = [small[s:e].tobytes() for s, e in zip(words.bounds, words.bounds[1:], strict=False)]
+                yield pd.DataFrame({"doc_id": part["doc_id"].to_numpy(), "f1": f1, "f2": f2, "n": n, "sketch": list(keys), "seq": seqs})
 
     rows = docs.filter("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInPandas(run, "doc_id long, f1 long, f2 long, n long, sketch array<long>")
+    return rows.mapInPandas(run, "doc_id long, f1 long, f2 long, n long, sketch array<long>, seq binary")
 
 
-def aligned(a: np.ndarray, b: np.ndarray, similarity: float = SIMILARITY) -> bool:
-    """Whether the banded alignment of two labelled sequences reaches ``similarity``.
+def common_words(a: np.ndarray, b: np.ndarray, band: int, block: int = 4096) -> int:
+    """Length of the longest common subsequence whose places are at most ``band`` (and part of a block) apart.
 
-    Labels are unique in a sequence, so a common subsequence is an increasing run of matched
-    positions. Matches farther from the diagonal than the similarity allows are out of the band.
+    Bit-parallel: one bit per word of ``a``, a block of them at a time; a row per word of ``b``, whose
+    carry goes from block to block.
     """
-    total = len(a) + len(b)
-    need = similarity * total / (1 + similarity) - 1e-9
-    if not total or min(len(a), len(b)) < need:
-        return total == 0
-    order = np.argsort(b)
-    at = np.minimum(np.searchsorted(b, a, sorter=order), len(b) - 1)
-    j = order[at]
-    i = np.flatnonzero(b[j] == a)
-    j = j[i]
-    near = np.abs(i - j) <= max(len(a), len(b)) - need + 1
-    j = j[near]
-    if len(j) < need:
-        return False
-    if (np.diff(j) > 0).all():
-        return True
-    tails: list[int] = []
-    for x in j.tolist():
-        k = bisect_left(tails, x)
-        if k == len(tails):
-            tails.append(x)
-        else:
-            tails[k] = x
-    return len(tails) >= need
+    rows, carry, total = b.tolist(), bytearray(len(b)), 0
+    for at in range(0, len(a), block):
+        part = a[at : at + block].tolist()
+        width = len(part)
+        full = state = (1 << width) - 1
+        places: dict[int, int] = {}
+        for i, w in enumerate(part):
+            places[w] = places.get(w, 0) | (1 << i)
+        for r in range(max(0, at - band), min(len(rows), at + width + band)):
+            hit, c = places.get(rows[r], 0), carry[r]
+            if hit or c:
+                used = state & hit
+                step = state + used + c
+                carry[r] = step >> width
+                state = (step & full) | (state - used)
+        total += width - state.bit_count()
+    return total
 
 
-def sequences(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """(doc_id, seq) of the documents in ``ids(doc_id)``: labelled shingle hashes, four bytes each, in text order."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for part in batches_by_size(batch):
-                labelled, bounds = labelled_shingles(Words(part["text"].tolist()))
-                small = (labelled >> np.uint64(32)).astype("<u4")
-                seqs = [small[bounds[i] : bounds[i + 1]].tobytes() for i in range(len(part))]
-                yield pd.DataFrame({"doc_id": part["doc_id"].to_numpy(), "seq": seqs})
-
-    # A merge join at any size: whether the ids would fit a broadcast depends on the data.
-    first = docs.join(ids.hint("merge"), "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
-    return first.mapInPandas(run, "doc_id long, seq binary")
+def aligned(a: np.ndarray, b: np.ndarray, similarity: float = SIMILARITY) -> bool:
+    """Whether the banded alignment of two word sequences reaches ``similarity``."""
+    size = len(a) + len(b)
+    need = similarity * size / (1 + similarity) - 1e-9
+    short = min(len(a), len(b))
+    if not size or short < need:
+        return size == 0
+    other = np.flatnonzero(a[:short] != b[:short])
+    head = int(other[0]) if len(other) else short
+    # The words on the diagonal are a common subsequence.
+    if short - len(other) >= need:
+        return True
+    a, b = a[head:], b[head:]
+    short -= head
+    other = np.flatnonzero(a[len(a) - short :][::-1] != b[len(b) - short :][::-1])
+    tail = int(other[0]) if len(other) else short
+    if head + short - len(other) >= need:
+        return True
+    a, b = a[: len(a) - tail], b[: len(b) - tail]
+    # Whoever is farther from the diagonal has lost too many words.
+    return head + tail + common_words(a, b, int(size - 2 * need) + 1) >= need
 
 
 def verify(pairs: DataFrame, seqs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """The pairs (a, b) of distinct documents whose alignment reaches ``similarity``.
+    """The pairs (a, b) of distinct documents whose alignment reaches ``similarity``; ``seqs(rep, seq)``.
 
     ``b`` may be a hub of many pairs: its rows are dealt over salts and its sequence goes once to
     each salt in use; a task streams, hub first.
     """
     pairs = pairs.withColumn("_chunk", salt_of(F.col("a")))
-    members = pairs.join(seqs.withColumnRenamed("doc_id", "a"), "a").select("b", "_chunk", "a", "seq")
-    hubs = pairs.select("b", "_chunk").distinct().join(seqs.withColumnRenamed("doc_id", "b"), "b")
+    members = pairs.join(seqs.withColumnRenamed("rep", "a").hint("merge"), "a").select("b", "_chunk", "a", "seq")
+    hubs = pairs.select("b", "_chunk").distinct().join(seqs.withColumnRenamed("rep", "b").hint("merge"), "b")
     rows = hubs.select("b", "_chunk", F.lit(None).cast("long").alias("a"), "seq").union(members)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hub, whose = np.zeros(0, dtype="<u4"), None
+        hubs, whose = [], None
         for batch in batches:
             found = []
             for b, chunk, a, seq in zip(batch["b"].tolist(), batch["_chunk"].tolist(), batch["a"].tolist(), batch["seq"].tolist(), strict=True):
                 own = np.frombuffer(seq, dtype="<u4")
                 if a is None or a != a:
-                    hub, whose = own, (b, chunk)
-                elif whose == (b, chunk) and aligned(own, hub, similarity):
+                    hubs, whose = [*(hubs if whose == (b, chunk) else []), own], (b, chunk)
+                elif whose == (b, chunk) and any(aligned(own, hub, similarity) for hub in hubs):
                     found.append((int(a), b))
             yield pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
@@ -193,27 +215,14 @@ def verify(pairs: DataFrame, seqs: DataFrame, similarity: float = SIMILARITY) ->
 
 
 def _crowded(keyed: DataFrame) -> DataFrame:
-    """(key, rep, n, top) of ``keyed(key, rep)``: members of buckets of two or more, with the size and the first member."""
-    crowded = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("rep").alias("top")).filter("n > 1")
-    return salted_join(keyed, crowded, "key", [F.col("rep")])
+    """``keyed(key, rep, ...)`` of buckets of two or more, with the bucket's size ``m`` and first member ``top``."""
+    crowded = keyed.groupBy("key").agg(F.count("*").alias("m"), F.min("rep").alias("top")).filter("m > 1")
+    return skewed_join(keyed, crowded, "key", [F.col("rep")])
 
 
-def _candidates(rows: DataFrame) -> DataFrame:
-    """Pairs (a, b), b < a, of ``_crowded`` rows: each member with the first of its bucket and with the one before it.
-
-    A bucket of more than ``RUN`` members is dealt over as many runs as it has RUNs, so that no task
-    orders a hot bucket by itself; runs meet in the bucket's first member.
-    """
-    run = F.when(F.col("n") > RUN, F.pmod(F.xxhash64("rep"), F.ceil(F.col("n") / RUN))).otherwise(F.lit(0))
-    before = F.lag("rep").over(Window.partitionBy("key", "_run").orderBy("rep"))
-    rows = rows.withColumn("_run", run).withColumn("_before", before)
-    pairs = rows.select("rep", F.explode(F.array_distinct(F.array("top", F.coalesce("_before", "top")))).alias("b"))
-    return pairs.filter("rep <> b").select(F.col("rep").alias("a"), "b").distinct()
-
-
-def _block_links(reps: list[int], components: list[int], seqs: list[np.ndarray], split: int, similarity: float) -> list[tuple[int, int]]:
-    """Links that connect the different components of rows before ``split`` with those from it on (of all rows with each other, if none are)."""
-    n = len(reps)
+def _block_links(components: list[int], seqs: list[np.ndarray], split: int, similarity: float) -> list[tuple[int, int]]:
+    """Links between the components of rows before ``split`` and those from it on (of all rows with each other, if none are)."""
+    n = len(seqs)
     x, y = (np.arange(split), np.arange(split, n)) if split < n else (np.arange(n), np.arange(n))
     group = np.unique(components, return_inverse=True)[1]
     open_ = group[x][:, None] != group[y][None, :]
@@ -224,10 +233,15 @@ def _block_links(reps: list[int], components: list[int], seqs: list[np.ndarray],
     open_ &= np.minimum(sizes[x][:, None], sizes[y][None, :]) >= need
     if not open_.any():
         return []
-    # Labels are unique in a sequence: a common subsequence is no longer than the set of common labels.
-    _, label, count = np.unique(np.concatenate(seqs), return_inverse=True, return_counts=True)
-    column = np.cumsum(count > 1) - 1
+    # A common subsequence is no longer than the multiset of common words: words labelled by their occurrence.
     row = np.repeat(np.arange(n), sizes)
+    word = (row.astype(np.uint64) << np.uint64(32)) | np.concatenate(seqs).astype(np.uint64)
+    order = np.argsort(word, kind="stable")
+    first = np.flatnonzero(np.concatenate(([True], word[order][1:] != word[order][:-1])))
+    occurrence = np.empty(len(word), dtype=np.uint64)
+    occurrence[order] = np.arange(len(word)) - np.repeat(first, np.diff(np.append(first, len(word))))
+    _, label, count = np.unique((word << np.uint64(32)) | occurrence, return_inverse=True, return_counts=True)
+    column = np.cumsum(count > 1) - 1
     shared = count[label] > 1
     row, column = row[shared], column[label[shared]]
     order = np.argsort(column, kind="stable")
@@ -252,62 +266,63 @@ def _block_links(reps: list[int], components: list[int], seqs: list[np.ndarray],
         a, b = find(int(group[i])), find(int(group[j]))
         if a != b and aligned(seqs[i], seqs[j], similarity):
             root[a] = b
-            out.append((reps[i], reps[j]))
+            out.append((components[i], components[j]))
     return out
 
 
-def rest(named: DataFrame, sizes: DataFrame, seqs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """Links (a, b) that connect all linked pairs of ``named(key, rep, component)`` in a bucket but not in a component.
+def rest(named: DataFrame, seqs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """Links (a, b) between components of ``named(key, rep, n, component)`` that have linked members in a bucket.
 
-    ``sizes(rep, size)``: shingles per document. Levels of length are a little wider than a link
-    allows, so linked documents are in one level or in neighbouring ones. Buckets of three members
-    or fewer were asked as a whole before.
+    ``n``: words. Levels of length are a little wider than a link allows, so linked documents are in
+    one level or in neighbouring ones. Buckets of two were asked before.
     """
-    mixed = named.groupBy("key").agg(F.count("*").alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi")).filter("n > 3 and lo < hi")
-    rows = salted_join(named, mixed.select("key"), "key", [F.col("rep")])
-    level = F.floor(F.log(F.col("size").cast("double")) / math.log(1.01 / similarity)).cast("int")
-    rows = rows.join(sizes.hint("merge"), "rep").select("key", "rep", "component", level.alias("level"))
-    rows = materialize(rows.withColumn("place", F.struct("key", "level")).withColumn("cell", F.struct("key", "level", "component")))
-    large = rows.groupBy("cell").agg(F.count("*").alias("m")).filter(F.col("m") > BLOCK)
-    rows = salted_join(rows, large, "cell", [F.col("rep")], "left")
-    crowd = rows.filter("m is null").groupBy("place").agg(F.count("*").alias("total")).filter(F.col("total") > BLOCK)
-    rows = salted_join(rows, crowd, "place", [F.col("rep")], "left")
-    part = F.pmod(F.xxhash64("rep"), F.ceil(F.coalesce("m", "total", F.lit(1)) / BLOCK))
+    mixed = named.groupBy("key").agg(F.count("*").alias("m"), F.min("component").alias("lo"), F.max("component").alias("hi")).filter("m > 2 and lo < hi")
+    step = math.log(1.01 / similarity)
+    level = F.floor(F.log(F.col("n").cast("double")) / step).cast("int")
+    rows = skewed_join(named, mixed.select("key"), "key", [F.col("rep")])
+    rows = materialize(rows.select("key", "rep", "component", level.alias("level"), F.struct("key", level.alias("level"), "component").alias("cell")))
+    # The longest text of a level decides how many make a block. Components of more than a block have blocks of their own.
+    most = F.least(F.lit(float(BLOCK)), F.greatest(F.lit(1.0), BLOCK_WORDS / F.exp((F.col("level") + 1) * step)))
+    cells = rows.groupBy("cell").agg(F.count("*").alias("m")).select("cell", "m", "cell.key", "cell.level")
+    crowd = cells.filter(F.col("m") <= most).groupBy("key", "level").agg(F.sum("m").alias("total"))
+    cells = cells.join(crowd.hint("merge"), ["key", "level"], "left").select("cell", F.when(F.col("m") > most, F.col("m")).alias("m"), "total")
+    dealt = skewed_join(rows, cells, "cell", [F.col("rep")])
     own = F.when(F.col("m").isNotNull(), F.col("component"))
-    members = materialize(rows.withColumn("own", own).select("key", "level", F.xxhash64("own", part).alias("block"), "rep", "component", "own"))
+    part = F.pmod(F.xxhash64("rep"), F.ceil(F.coalesce("m", "total") / most))
+    members = materialize(dealt.select("key", "level", F.xxhash64(own, part).alias("block"), "rep", "component", own.alias("own")))
 
-    blocks = members.groupBy("key", "level", "block").agg(F.first("own").alias("own"), F.count("*").alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi"))
-    blocks = materialize(blocks)
-    one = blocks.select("key", F.col("level").alias("at"), "block", "own", "n", "lo", "hi")
+    blocks = members.groupBy("key", "level", "block").agg(F.first("own").alias("own"), F.min("component").alias("lo"), F.max("component").alias("hi"))
+    one = blocks.select("key", F.col("level").alias("at"), *[F.col(c).alias(f"{c}_1") for c in ("level", "block", "own", "lo", "hi")])
     two = blocks.select("key", F.explode(F.array("level", F.col("level") - 1)).alias("at"), *[F.col(c).alias(f"{c}_2") for c in ("level", "block", "own", "lo", "hi")])
     meet = one.join(two.hint("merge"), ["key", "at"]).filter(
-        "(at < level_2 or block <= block_2) and least(lo, lo_2) < greatest(hi, hi_2) and not (own is not null and own_2 is not null and own = own_2)"
+        "(level_1 < level_2 or block_1 <= block_2) and least(lo_1, lo_2) < greatest(hi_1, hi_2) and not (own_1 is not null and own_2 is not null and own_1 = own_2)"
     )
-    meet = materialize(meet.select("key", "at", "block", "level_2", "block_2", F.xxhash64("key", "at", "block", "level_2", "block_2").alias("task")))
-    first = meet.select("key", F.col("at").alias("level"), "block", "task", F.lit(0).alias("side"))
-    second = meet.filter("at < level_2 or block < block_2").select("key", F.col("level_2").alias("level"), F.col("block_2").alias("block"), "task", F.lit(1).alias("side"))
-    asked = members.select("key", "level", "block", "rep", "component").join(first.union(second).hint("merge"), ["key", "level", "block"])
-    asked = asked.select("task", "side", "rep", "component").join(seqs.withColumnRenamed("doc_id", "rep").hint("merge"), "rep")
+    task = F.xxhash64("key", "level_1", "block_1", "level_2", "block_2").alias("task")
+    sides = [F.struct(F.col(f"level_{k}").alias("level"), F.col(f"block_{k}").alias("block"), F.lit(k).alias("side")) for k in (1, 2)]
+    same = (F.col("level_1") == F.col("level_2")) & (F.col("block_1") == F.col("block_2"))
+    asked = meet.select("key", task, F.explode(F.when(same, F.array(sides[0])).otherwise(F.array(*sides))).alias("s")).select("key", "task", "s.*")
+    asked = members.select("key", "level", "block", "rep", "component").join(asked.hint("merge"), ["key", "level", "block"])
+    asked = asked.select("task", "side", "rep", "component").join(seqs.hint("merge"), "rep")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        task, held = None, ([], [], [], [])
+        task, held = None, ([], [], [])
 
         def done() -> list[tuple[int, int]]:
-            sides, reps, components, own = held
-            return _block_links(reps, components, own, len(sides) - sum(sides), similarity) if len(sides) > 1 else []
+            sides, components, own = held
+            return _block_links(components, own, sides.count(1), similarity) if len(sides) > 1 else []
 
         for batch in batches:
             found = []
-            for t, *row, seq in zip(*(batch[c].tolist() for c in ("task", "side", "rep", "component", "seq")), strict=True):
+            for t, *row, seq in zip(*(batch[c].tolist() for c in ("task", "side", "component", "seq")), strict=True):
                 if t != task:
                     found += done()
-                    task, held = t, ([], [], [], [])
+                    task, held = t, ([], [], [])
                 for have, value in zip(held, (*row, np.frombuffer(seq, dtype="<u4")), strict=True):
                     have.append(value)
             yield pd.DataFrame(found, columns=["a", "b"], dtype="int64")
         yield pd.DataFrame(done(), columns=["a", "b"], dtype="int64")
 
-    dealt = asked.repartition("task").sortWithinPartitions("task", "side", "rep")
+    dealt = asked.repartition("task").sortWithinPartitions("task", "side")
     return dealt.mapInPandas(run, "a long, b long")
 
 
@@ -317,33 +332,28 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     exact_id: smallest doc_id of the same word sequence; class_id: smallest doc_id reachable by
     links; kept: doc_id = class_id.
     """
-    docs = docs.filter("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     drawn = materialize(sketches(docs))
     # Equal texts: smallest id per fingerprint, joined back only where there are copies.
-    classes = drawn.groupBy("f1", "f2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n"), F.first("sketch").alias("sketch"), F.first("n").alias("size"))
-    classes = materialize(classes)
-    copied = classes.filter("n > 1").select(F.struct("f1", "f2").alias("f"), "rep")
-    rows = materialize(
-        salted_join(drawn.select("doc_id", F.struct("f1", "f2").alias("f")), copied, "f", [F.col("doc_id")], "left").select(
-            "doc_id", F.coalesce("rep", "doc_id").alias("exact_id")
-        )
-    )
-    keyed = classes.filter("size > 0").select("rep", F.posexplode("sketch").alias("j", "s")).select("rep", F.xxhash64("j", "s").alias("key"))
+    first = [F.first(c).alias(c) for c in ("n", "sketch", "seq")]
+    classes = materialize(drawn.groupBy("f1", "f2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), *first))
+    copied = classes.filter("copies > 1").select(F.struct("f1", "f2").alias("f"), "rep")
+    rows = skewed_join(drawn.select("doc_id", F.struct("f1", "f2").alias("f")), copied, "f", [F.col("doc_id")], "left").select("doc_id", F.coalesce("rep", "doc_id").alias("exact_id"))
+    keyed = classes.filter("n > 0").select("rep", "n", F.posexplode("sketch").alias("j", "s")).select("rep", "n", F.xxhash64("j", "s").alias("key"))
     # Buckets of one member never matter again.
     buckets = materialize(_crowded(keyed))
-    # Texts are read again once, for those alone that share a bucket; later rounds ask about some of them.
-    seqs = materialize(sequences(docs, buckets.select(F.col("rep").alias("doc_id")).distinct()))
-    found = materialize(verify(materialize(_candidates(buckets)), seqs, similarity))
-    component = connected_components(found)
-    named = buckets.select("key", "rep").join(component.withColumnRenamed("node", "rep").hint("merge"), "rep", "left")
-    left = materialize(rest(named.withColumn("component", F.coalesce("component", "rep")), classes.select("rep", "size"), seqs, similarity))
+    seqs = classes.select("rep", "seq")
+    pairs = buckets.filter("rep <> top").select(F.col("rep").alias("a"), F.col("top").alias("b")).distinct()
+    found = materialize(verify(pairs, seqs, similarity))
+    near = connected_components(found)
+    named = buckets.select("key", "rep", "n").join(near.withColumnRenamed("node", "rep").hint("merge"), "rep", "left")
+    left = materialize(rest(named.withColumn("component", F.coalesce("component", "rep")), seqs, similarity))
+    joined = skewed_join(rows, near.select(F.col("node").alias("exact_id"), F.col("component").alias("near")), "exact_id", [F.col("doc_id")], "left")
+    joined = joined.withColumn("near", F.coalesce("near", "exact_id"))
     if not left.isEmpty():
-        # The stars stand for all links before.
-        component = connected_components(component.select(F.col("node").alias("a"), F.col("component").alias("b")).union(left))
-    joined = salted_join(rows, component.withColumnRenamed("node", "exact_id"), "exact_id", [F.col("doc_id")], "left")
-    return joined.select(
-        "doc_id", "exact_id", F.coalesce("component", "exact_id").alias("class_id"), (F.col("doc_id") == F.coalesce("component", "exact_id")).alias("kept")
-    )
+        # The links between components make components of components.
+        wider = connected_components(left).select(F.col("node").alias("near"), "component")
+        joined = skewed_join(joined, wider, "near", [F.col("doc_id")], "left").withColumn("near", F.coalesce("component", "near"))
+    return joined.select("doc_id", "exact_id", F.col("near").alias("class_id"), (F.col("doc_id") == F.col("near")).alias("kept"))
 
 
 def keep_one(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:

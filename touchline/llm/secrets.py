@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from touchline.llm.common import salted_join
+from touchline.llm.common import skewed_join
 
 FINDING = "struct<start:int,ord:int,kind:string,end:int>"
 
@@ -134,7 +134,7 @@ def scan_versions(
             scanned.select("blob", "findings").union(old).groupBy("blob").agg(F.array_sort(F.flatten(F.collect_list("findings"))).alias("findings"))
         )
     hits = known.filter(F.size("findings") > 0)
-    joined = salted_join(rows, hits, "blob", [F.col("path")], "left")
+    joined = skewed_join(rows, hits, "blob", [F.col("path")], "left")
     empty = F.array().cast(f"array<{FINDING}>")
     return joined.select("path", "blob", F.coalesce("findings", empty).alias("findings")), fresh
 
@@ -190,7 +190,7 @@ def redact_documents(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mark: str
     rows = docs.select(F.struct("*").alias("row"), blob_id(F.col("text")).alias("blob"))
     blobs = rows.select("blob", F.coalesce("row.text", F.lit("")).alias("text")).groupBy("blob").agg(F.first("text").alias("text"))
     hits = scan_blobs(blobs, rules).filter(F.size("findings") > 0)
-    joined = salted_join(rows, hits, "blob", [F.col("row.doc_id")], "left")
+    joined = skewed_join(rows, hits, "blob", [F.col("row.doc_id")], "left")
     found = F.coalesce("findings", F.array().cast(f"array<{FINDING}>"))
     changed = {"text": redact(F.col("row.text"), found, mark)}
     if "n_chars" in docs.columns:

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from touchline.llm.common import salted_join
+from touchline.llm.common import skewed_join
 
 #: The filter has BLOCKS blocks of eight 8-byte words, one bit of each word per entry: 64 bytes
 #: a block, 1 MiB in all at the default. Its size is fixed by this parameter, not by the data.
@@ -133,4 +133,4 @@ def _exact(hits: DataFrame, entries: DataFrame) -> DataFrame:
     held = entries.agg(F.sum(F.length("k") + F.length("rule") + 64)).first()[0] or 0
     if held <= BROADCAST_BYTES:
         return hits.join(F.broadcast(entries), "k")
-    return salted_join(hits, entries, "k", [F.col("page_id"), F.col("url")])
+    return skewed_join(hits, entries, "k", [F.col("page_id"), F.col("url")])
