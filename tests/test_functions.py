@@ -29,7 +29,7 @@ CASES = [
     (text.mapped_list, ["A / B;A"], ["A / B"]),
     (text.strip_parenthesis, ["Ana (Skopje)", "Ana"], ["Ana", "Ana"]),
     (text.group_label, ["Liga (Istok)", "Liga"], ["Istok", None]),
-    (text.quiet_capitals, ["ПРВА лига U17", "Прва Лига"], ["Прва Лига U17", "Прва Лига"]),
+    (text.quiet_capitals, ["ПРВА лига (куп) НА Рм-офл", "МФЛ ЗАПАД, Југ", "Прва Лига", None], ["Прва Лига (КУП) на Рм-Офл", "МФЛ запад, Југ", "Прва Лига", None]),
     (text.note_lines, ["a\\n\\nb\r\n"], ["a\nb"]),
     (minutes.parse_minute, ["45+1", "67'", "x", "", None, "90+3"], [451, 67, None, None, None, 903]),
     (labels.is_cup, ["КУП 25/26", "Куп елиминација", None], [True, False, False]),

@@ -25,7 +25,7 @@ def test_every_decision(spark):
 
 
 OUTCOMES = [("a", ["empty"] * 3), ("b", ["empty", "empty", "announced", "empty"]), ("c", ["announced", "report", "empty"]), ("d", ["withdrawn"]), ("e", ["announced", "no_report", "no_report"])]
-FINAL = {"a": ("Archived", 3, False), "b": ("Live_Post", 1, False), "c": ("Archived", 0, True), "d": ("Archived", 0, False), "e": ("Live_Post", 1, False)}
+FINAL = {"a": ("Archived", 3, False), "b": ("Live_Post", 1, False), "c": ("Archived", 1, True), "d": ("Archived", 0, False), "e": ("Live_Post", 1, False)}
 
 
 def outcome_rows(spark):
@@ -48,7 +48,16 @@ def test_stream_agrees_with_batch(spark, tmp_path):
 
 
 def test_legacy_rows(spark):
-    tracking = spark.createDataFrame([("a", "Scheduled", T0, T0, 0, False)], ingest.STATE)
+    tracking = spark.createDataFrame([("a", "Scheduled", T0, T0, 0, False, "L", "25/26")], ingest.STATE)
     out = ingest.migrate_legacy(tracking, spark.createDataFrame([("a",), ("b",)], "match_id string"))
     assert {r["match_id"]: r["state"] for r in out.collect()} == {"a": "Scheduled", "b": "Archived"}
     assert ingest.state_counts(out).first().asDict() == {"scheduled": 1, "live_post": 0, "archived": 1}
+
+
+def test_outcomes_on_tracked_matches(spark):
+    """Counts go on from what is tracked; an empty announcement empties the kick-off and the competition."""
+    tracking = spark.createDataFrame([("a", "Live_Post", T0, T0, 2, False, "L", "25/26"), ("b", "Archived", T0, T0, 1, True, "L", "25/26"), ("c", "Scheduled", T0, T0, 0, False, "L", "25/26")], ingest.STATE)
+    rows = [("a", "empty", None, T0, None), ("b", "empty", None, T0, None), ("c", "no_report", None, T0, None), ("d", "announced", T0, T0, "M"), ("d", "withdrawn", None, T0 + dt.timedelta(hours=1), None)]
+    out = ingest.apply_outcomes(tracking, spark.createDataFrame(rows, "match_id string, outcome string, kick_off timestamp, polled timestamp, competition string"))
+    got = {r["match_id"]: (r["state"], r["attempts"], r["complete"], r["kick_off"], r["competition"]) for r in out.collect()}
+    assert got == {"a": ("Archived", 3, False, None, None), "b": ("Archived", 1, True, T0, "L"), "c": ("Live_Post", 1, False, T0, "L"), "d": ("Archived", 0, False, T0, "M")}

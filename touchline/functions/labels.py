@@ -19,6 +19,15 @@ CATEGORIES = (
     (r"детска|kids?|child", "Детска лига"),
     (r"сениор|senior", "Сениори"),
 )
+CATEGORY_KEYS = {
+    "Младинци": "category_youth", "Кадети": "category_cadet", "Помали петлиња": "category_pomali_petlinja", "Петлиња": "category_petlinja",
+    "Млади Пионери": "category_mladi_pioneri", "Пионери": "category_pioneri", "Детска лига": "category_kids",
+}
+YOUTH = ("Младинци", "Кадети", "Пионери", "Млади Пионери", "Помали петлиња", "Петлиња", "Детска лига")
+YOUTH_WORDS = (
+    r"ффм|ffm|помали[\s/-]*петлиња|помали[\s/-]*петлинја|петлиња|petlinja|petlinjë|детска|detska|kids|child|children|младин|mladin|junior|youth|juven"
+    r"|пионер|pioner|кадет|kadet|cadet"
+)
 ROUND_ORDER = (("1/64", 1.0), ("1/32", 2.0), ("1/16", 3.0), ("1/8", 4.0), ("1/4", 5.0), ("1/2", 6.0), ("3/4", 6.5))
 SHORT_MATCHES = {60: ("Кадети", "Кадетска"), 80: ("Младинци", "Младинска", "Петлиња", "Помали петлиња")}
 OFFICIAL_ROLES = (
@@ -56,6 +65,16 @@ def category(raw: Column, competition: Column | None = None) -> Column:
     return F.coalesce(out, text)
 
 
+def category_key(normal: Column) -> Column:
+    return F.coalesce(mapped(normal, CATEGORY_KEYS), F.lit("category_senior"))
+
+
+def is_youth(raw: Column, competition: Column) -> Column:
+    """Whether a competition is one of the young, by its category or by a word of category or name."""
+    words = F.lower(squish(F.concat_ws(" ", raw, competition)))
+    return category(raw, competition).isin(*YOUTH) | words.rlike(YOUTH_WORDS)
+
+
 def match_duration(category_label: Column) -> Column:
     """Minutes of a match: cadets 60, youth and the younger 80, others 90."""
     out = F.lit(90)

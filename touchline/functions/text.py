@@ -26,6 +26,8 @@ DIGRAPHS = {
     "xh": "z", "sh": "s", "ch": "c", "zh": "z", "gj": "g", "kj": "k", "nj": "n", "lj": "l", "dj": "d", "dz": "z", "dh": "d", "th": "t", "ah": "a", "ph": "f",
 }
 DOUBLES = tuple("lsrtfnmpbdgcz")
+ACRONYMS = ("ОФЛ", "ФФМ", "МФЛ", "КУП", "РМ", "ОФС")
+LOWER_WORDS = ("запад", "југ", "север", "исток", "југозапад", "југоисток", "за", "на", "и")
 CLUB_PREFIX = r"(?iu)^\s*(жфк|шфк|фк|zfk|shfk|fk)\s+"
 NBSP = " "
 
@@ -161,16 +163,18 @@ def group_label(c: Column) -> Column:
     return F.nullif(F.regexp_extract(c, r"\(([^)]*)\)\s*$", 1), F.lit(""))
 
 
-def quiet_capitals(c: Column, acronyms: tuple[str, ...] = ("U17", "U19", "II"), lower_words: tuple[str, ...] = ()) -> Column:
-    """If a text has three Cyrillic capitals or more in a row, its words get title case, acronyms and small words kept."""
-    shout = c.rlike("[А-ЯЃЌЅЈЉЊЏ]{3,}")
-    words = F.transform(
-        F.split(c, " "),
-        lambda w: F.when(w.isin(*acronyms), w)
-        .when(F.lower(w).isin(*lower_words) if lower_words else F.lit(False), F.lower(w))
-        .otherwise(F.concat(F.upper(F.substring(w, 1, 1)), F.lower(F.substring(w, 2, 1 << 30)))),
-    )
-    return F.when(shout, F.array_join(words, " ")).otherwise(c)
+def quiet_capitals(c: Column, acronyms: tuple[str, ...] = ACRONYMS, lower_words: tuple[str, ...] = LOWER_WORDS) -> Column:
+    """If a text has three Cyrillic capitals or more in a row, its words get title case, acronyms and small words kept.
+
+    Words are compared without punctuation and without regard to case.
+    """
+    shout = c.rlike("[А-Я]{3,}")
+
+    def word(w: Column) -> Column:
+        bare = F.lower(F.regexp_replace(w, "[^А-Яа-яA-Za-z0-9]", ""))
+        return F.when(F.upper(bare).isin(*acronyms), F.upper(w)).when(bare.isin(*lower_words), F.lower(w)).otherwise(title_case(w))
+
+    return F.when(shout, F.array_join(F.transform(F.split(c, r"\s+"), word), " ")).otherwise(c)
 
 
 def note_lines(c: Column) -> Column:

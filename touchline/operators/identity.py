@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from touchline.functions.calendar import SUMMER_WINDOW, WINTER_WINDOW
@@ -126,17 +126,24 @@ def event_ids(events: DataFrame, appearances: DataFrame) -> DataFrame:
     return e.withColumn("player_id", F.coalesce("_1", "_2", "_3", "_4", slug(F.col("name")))).drop("_name", "_team", "_1", "_2", "_3", "_4")
 
 
+def _place(rows: DataFrame, *columns: str) -> Column:
+    """The row's ``ord`` where there is one, then its values: a total order that no partitioning changes."""
+    return F.struct(*(["ord"] if "ord" in rows.columns else []), *columns)
+
+
 def apply_conversions(rows: DataFrame, column: str, conversions: DataFrame) -> DataFrame:
-    """Replace names by ``conversions(original, corrected)`` on squished lower-case keys; the first row of a key counts."""
-    once = conversions.select(join_key(F.col("original")).alias("_k"), "corrected", F.monotonically_increasing_id().alias("_o")).groupBy("_k").agg(F.min_by("corrected", "_o").alias("_to"))
+    """Replace names by ``conversions(original, corrected[, ord])`` on squished lower-case keys; the first row of a key by ``ord`` counts."""
+    first = F.min_by("corrected", _place(conversions, "original", "corrected"))
+    once = conversions.withColumn("_k", join_key(F.col("original"))).groupBy("_k").agg(first.alias("_to"))
     return rows.withColumn("_k", join_key(F.col(column))).join(once, "_k", "left").withColumn(column, F.coalesce("_to", column)).drop("_k", "_to")
 
 
 def unify(rows: DataFrame, unification: DataFrame) -> DataFrame:
-    """Replace name and player_id of names listed in ``unification(wrong, right, right_id)``."""
-    u = unification.dropDuplicates(["wrong"])
+    """Replace name and player_id of names listed in ``unification(wrong, right, right_id[, ord])``; the first row of a name by ``ord`` counts."""
+    first = F.min_by(F.struct("right", "right_id"), _place(unification, "right", "right_id"))
+    u = unification.groupBy("wrong").agg(first.alias("_u"))
     joined = rows.join(u, rows["name"] == u["wrong"], "left")
-    return joined.withColumns({"name": F.coalesce("right", "name"), "player_id": F.coalesce("right_id", "player_id")}).drop("wrong", "right", "right_id")
+    return joined.withColumns({"name": F.coalesce("_u.right", "name"), "player_id": F.coalesce("_u.right_id", "player_id")}).drop("wrong", "_u")
 
 
 def spread_base_ids(bio: DataFrame, appearances: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from touchline.functions.calendar import long_season, season_year, strip_season
-from touchline.functions.labels import category, is_cup, mapped, official_role, STAFF_ROLES
+from touchline.functions.labels import category, category_key, is_cup, mapped, official_role, STAFF_ROLES
 from touchline.functions.minutes import show_minute, sort_minute
 from touchline.functions.text import (
     cyrillic_to_latin, distinct_words, group_label, join_key, last_word_first, search_terms, slug, standard_name, strip_parenthesis, team_key,
@@ -40,20 +40,36 @@ def attach_category(matches: DataFrame, catalogue: DataFrame) -> DataFrame:
 
 
 def into_groups(matches: DataFrame, groups: DataFrame) -> DataFrame:
-    """Rename competitions that have groups: ``groups(competition, season, label, teams)``, teams an array.
+    """Add ' (label)' to competitions that have groups: ``groups(competition, season, label, teams, ord)``, teams an array.
 
-    A group with both teams is preferred, then one with the home team, then one with the away team;
-    matches of none are in ' (G)'. Competitions without groups stay.
+    Names and teams are compared trimmed, in lower case, without season; a group without season is for all.
+    Of the groups with either team, in order, the first counts, unless a later one has both teams, or has
+    the home team where the first has not. Matches of no group and names with a parenthesis at their end stay.
+    Groups are a short list per competition, so each match meets the list of its competition in one row.
     """
-    m = matches.withColumn("_row", F.xxhash64(*[F.col(c).cast("string") for c in ("match_id", "competition", "season", "round", "home", "away")]))
-    home = m.join(groups.select("competition", "season", "label", "teams"), ["competition", "season"])
-    home_in, away_in = F.array_contains("teams", F.col("home")), F.array_contains("teams", F.col("away"))
-    score = F.when(home_in & away_in, 0).when(home_in, 1).when(away_in, 2).otherwise(3)
-    best = first_rows(home.select("_row", score.alias("_s"), "label"), ["_row"], ordering("_s", "label"))
-    best = best.select("_row", F.when(F.col("_s") < 3, F.col("label")).otherwise("G").alias("_label"))
-    joined = m.join(best, "_row", "left")
-    named = F.when(F.col("_label").isNotNull(), F.concat("competition", F.lit(" ("), "_label", F.lit(")"))).otherwise(F.col("competition"))
-    return joined.withColumn("competition", named).drop("_row", "_label")
+    bare = F.struct(
+        "ord", F.nullif(F.trim("season"), F.lit("")).alias("season"), "label", F.transform("teams", lambda t: F.lower(F.trim(t))).alias("teams")
+    )
+    per = groups.select(F.lower(strip_season(F.col("competition"))).alias("_k"), bare.alias("g")).groupBy("_k").agg(F.array_sort(F.collect_list("g")).alias("_g"))
+    m = matches.withColumns({"_k": F.lower(strip_season(F.col("competition"))), "_h": F.lower(F.trim("home")), "_a": F.lower(F.trim("away"))}).join(per, "_k", "left")
+
+    def has(team: str, g: Column) -> Column:
+        return F.coalesce((F.col(team) != "") & F.array_contains(g["teams"], F.col(team)), F.lit(False))
+
+    fits = F.filter("_g", lambda g: (g["season"].isNull() | g["season"].eqNullSafe(F.col("season").cast("string"))) & (has("_h", g) | has("_a", g)))
+    m = m.withColumn("_fit", F.transform(fits, lambda g: F.struct(g["label"].alias("label"), has("_h", g).alias("home"), has("_a", g).alias("away"))))
+    first, rest = F.get("_fit", 0), F.slice("_fit", 2, F.greatest(F.size("_fit"), F.lit(1)))
+    both = F.get(F.filter(rest, lambda g: g["home"] & g["away"]), 0)["label"]
+    at_home = F.get(F.filter(rest, lambda g: g["home"]), 0)["label"]
+    label = F.coalesce(both, F.when(first["home"], first["label"]), at_home, first["label"])
+    open_ = label.isNotNull() & ~F.col("competition").rlike(r"\([^)]*\)\s*$")
+    return m.withColumn("competition", F.when(open_, F.concat("competition", F.lit(" ("), label, F.lit(")"))).otherwise(F.col("competition"))).drop("_k", "_g", "_h", "_a", "_fit")
+
+
+def in_context(rows: DataFrame, matches: DataFrame) -> DataFrame:
+    """Rows with the competition and season that their match has now (null for unknown matches)."""
+    now = matches.select("match_id", "competition", "season")
+    return rows.drop("competition", "season").join(now, "match_id", "left")
 
 
 def competitions(matches: DataFrame) -> DataFrame:
@@ -88,8 +104,8 @@ def staff(rows: DataFrame, coaches: DataFrame) -> DataFrame:
 
 
 def entity_names(names: DataFrame, translations: DataFrame, languages: tuple[str, ...] = ("sq", "es", "en")) -> DataFrame:
-    """(name, mk, one column per language): translation, else transliteration. ``translations(name, lang, text)``."""
-    wide = translations.groupBy("name").pivot("lang", list(languages)).agg(F.first("text", ignorenulls=True))
+    """(name, mk, one column per language): translation (the smallest of several), else transliteration. ``translations(name, lang, text)``."""
+    wide = translations.groupBy("name").pivot("lang", list(languages)).agg(F.min("text"))
     joined = names.select("name").distinct().join(wide, "name", "left")
     return joined.select("name", F.col("name").alias("mk"), *[F.coalesce(F.col(lang), cyrillic_to_latin(F.col("name"))).alias(lang) for lang in languages])
 
@@ -164,11 +180,15 @@ def side_of(club: Column, home: Column, away: Column) -> Column:
 
 
 def match_history(matches: DataFrame, names: DataFrame) -> DataFrame:
-    """Matches with a category key and both teams' display names (one dimension joined twice)."""
-    key = F.when(F.col("category") == "Сениори", "senior").when(F.col("category").isin("Младинци", "Кадети"), "youth").when(is_cup(F.col("competition")), "cup").otherwise("other")
+    """Matches with category, category key and both teams' display names (one dimension joined twice).
+
+    Without a category the competition's name tells it: youth, cadets, else seniors.
+    """
+    told = F.when(F.col("competition").contains("Младинска"), "Младинци").when(F.col("competition").contains("Кадетска"), "Кадети").otherwise("Сениори")
     h = names.select(F.col("name").alias("home"), F.col("en").alias("home_name"))
     a = names.select(F.col("name").alias("away"), F.col("en").alias("away_name"))
-    return matches.withColumn("category_key", key).join(h, "home", "left").join(a, "away", "left")
+    rows = matches.withColumn("category", F.coalesce("category", told)).withColumn("category_key", category_key(F.col("category")))
+    return rows.join(h, "home", "left").join(a, "away", "left")
 
 
 def profile_exclusions(rows: DataFrame, names: DataFrame, column: str = "name") -> DataFrame:

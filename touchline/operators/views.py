@@ -6,25 +6,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from touchline.functions.calendar import parse_date, season_year
-from touchline.functions.labels import category, mapped
+from touchline.functions.labels import category, category_key, is_youth, mapped  # noqa: F401
 from touchline.functions.text import squish
 from touchline.operators.tables import json_rows, ordering
 
 # ---- Fixed values: category keys and orders, competition orders by name, page folders.
 
-CATEGORY_KEYS = {
-    "Младинци": "category_youth", "Кадети": "category_cadet", "Помали петлиња": "category_pomali_petlinja", "Петлиња": "category_petlinja",
-    "Млади Пионери": "category_mladi_pioneri", "Пионери": "category_pioneri", "Детска лига": "category_kids",
-}
 ARCHIVE_ORDER = {"Младинци": 2, "Кадети": 3, "Пионери": 4, "Млади Пионери": 5, "Петлиња": 6, "Помали петлиња": 7}
 LEAGUE_ORDER = (("суперлига", 1.0), ("прва", 2.0), ("втора", 4.0), ("трета", 5.0), ("офл", 6.0))
 PLAY_OFF_ORDER = (("прва", 2.2), ("куп", 3.2), ("втора", 4.2), ("трета", 5.2), ("офл", 6.2))
 FOLDERS = {"jugadora": "igracki", "equipo": "timovi", "arbitro": "sudii", "стадион": "stadioni", "staff": "staff", "menu-competicion": "natprevaruvanja"}
-YOUTH = ("Младинци", "Кадети", "Пионери", "Млади Пионери", "Помали петлиња", "Петлиња", "Детска лига")
-
-
-def category_key(normal: Column) -> Column:
-    return F.coalesce(mapped(normal, CATEGORY_KEYS), F.lit("category_senior"))
 
 
 def category_label(normal: Column, max_age: Column, texts: dict[str, str] | None = None, prefix: str = "U") -> Column:
@@ -121,15 +112,32 @@ def score_from_goals(matches: DataFrame, goals: DataFrame) -> DataFrame:
     return joined.withColumns({"goals_home": F.coalesce("_h", "goals_home"), "goals_away": F.coalesce("_a", "goals_away")}).drop("_h", "_a")
 
 
-def navigation(competitions: DataFrame, season: str) -> DataFrame:
-    """(bucket, competition): what the menu shows of a season. Friendlies, play-offs and cup eliminations are left out;
-    youth first, then cups, senior leagues, regional ones, and what is left is municipal."""
-    text = F.lower(squish(F.col("competition")))
-    shown = competitions.filter((F.col("season") == season) & ~text.rlike(r"(?U)пријателски|\bбараж\b") & ~text.rlike("(куп|kup).*(елиминација|eliminacija)|(елиминација|eliminacija).*(куп|kup)"))
-    youth = category(F.col("category"), F.col("competition")).isin(*YOUTH) | text.rlike("ффм|ffm")
+def navigation(competitions: DataFrame, season: str | Column) -> DataFrame:
+    """(season, bucket, competition): what the menu shows of a season, from ``competitions(competition, season, category)``.
+
+    Friendlies, play-offs, cup eliminations, youth and whatever is not of a senior category are left out.
+    A competition is in every bucket whose beginning it has; what has none is municipal.
+    """
+    name = F.col("competition")
+    text = F.lower(name)
+    cup = text.rlike("куп|kup")
+    shown = competitions.filter((F.col("season") == season) & ~text.rlike(r"(?U)пријателски|\bбараж\b") & ~(cup & text.rlike("елиминација|eliminacija")))
     senior = F.lower(squish(F.coalesce("category", F.lit("")))).rlike("сениор|senior")
-    bucket = F.when(youth, "youth").when(text.rlike("куп|kup"), "cup").when(senior, "senior").when(text.rlike("регион|region"), "regional").otherwise("municipal")
-    return shown.select(bucket.alias("bucket"), "competition")
+    shown = shown.filter(senior & ~is_youth(F.col("category"), name))
+    national = text.rlike("^(куп|kup) (на|na) рм")
+    buckets = F.array_compact(
+        F.array(
+            F.when(text.rlike("^(прва|prva)"), "first"), F.when(text.rlike("^(втора|vtora)"), "second"), F.when(national, "national_cup"),
+            F.when(text.rlike("^(трета|treta)"), "third"), F.when(text.rlike("^(куп|kup)") & ~national, "regional_cup"),
+        )
+    )
+    return shown.select(F.explode(F.when(F.size(buckets) > 0, buckets).otherwise(F.array(F.lit("municipal")))).alias("bucket"), "competition", "season")
+
+
+def municipal_group(name: Column) -> Column:
+    """What municipal leagues are grouped by: the name without parentheses, season and 'super'; null if nothing is left."""
+    bare = F.regexp_replace(F.regexp_replace(name, r"\s*\(.*\)", ""), r"\s*\d{2}/\d{2}$", "")
+    return F.nullif(F.trim(F.regexp_replace(bare, r"(?iu)супер\s*", "")), F.lit(""))
 
 
 def round_label(key: Column, texts: dict[str, str], fallback: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from touchline.plans import text_queries, view_queries  # noqa: F401  they register their queries
+from touchline.plans import master_queries, text_queries, view_queries  # noqa: F401  they register their queries
 from touchline.plans.match_queries import ORACLE, QUERIES
 
 

@@ -44,14 +44,20 @@ def either_key_lookup(spark, sf_dir):
     return views.either_key(rows, "k", dim, ("key", "mk"), "region").select("match_id", "region")
 
 
+MENU = {
+    "Прва лига": "first", "PRVA LIGA": "first", "Втора лига": "second", "Куп на РМ": "national_cup", "Kup na рм 25": "national_cup", "Трета лига": "third", "Куп Битола": "regional_cup", "Суперлига": "municipal",
+    "ОФЛ Скопје А1": "municipal", "Бараж за Прва": None, "Куп на РМ елиминација": None, "Пријателски": None, "Прва Junior лига": None, "ФФМ лига": None,
+}
+
+
 @query(
-    f"""SELECT DISTINCT CASE match_id % 9 WHEN 2 THEN 'cup' WHEN 7 THEN 'cup' WHEN 0 THEN 'senior' WHEN 1 THEN 'senior' WHEN 4 THEN 'youth' ELSE 'municipal' END AS bucket, {_NAME} AS competition
-FROM matches WHERE season = 1995 AND match_id % 9 NOT IN (3, 5)"""
+    ", n(i, name, bucket) AS (VALUES " + ", ".join(f"({i}, '{n}', {repr(b) if b else 'NULL'})" for i, (n, b) in enumerate(MENU.items())) + f""")
+SELECT DISTINCT CAST(season AS BIGINT) AS season, bucket, name AS competition FROM matches JOIN n ON match_id % {len(MENU)} = i WHERE bucket IS NOT NULL AND match_id % 5 <> 4"""
 )
 def navigation_buckets(spark, sf_dir):
-    k = F.col("match_id") % 9
-    rows = a.matches(spark, sf_dir).select(F.col("season").cast("string").alias("season"), name_of("match_id").alias("competition"), F.when(k < 2, "Сениори").when(k == 4, "КАДЕТИ").alias("category"))
-    return views.navigation(rows, "1995").distinct()
+    k, names = F.col("match_id"), F.array(*[F.lit(x) for x in MENU])
+    rows = a.matches(spark, sf_dir).select(F.col("season").cast("string").alias("season"), F.get(names, (k % len(MENU)).cast("int")).alias("competition"), F.when(k % 5 == 4, "КАДЕТИ").otherwise("Сениори  ").alias("category"))
+    return views.navigation(rows.distinct(), F.col("season")).select(F.col("season").cast("long").alias("season"), "bucket", "competition").distinct()
 
 
 @query(

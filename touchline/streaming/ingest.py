@@ -14,7 +14,9 @@ from touchline.operators.incremental import upsert
 
 COOL_DOWN_MINUTES = 120
 STRIKES = 3
-STATE = "match_id string, state string, kick_off timestamp, last_poll timestamp, attempts int, complete boolean"
+STATE = "match_id string, state string, kick_off timestamp, last_poll timestamp, attempts int, complete boolean, competition string, season string"
+#: What an outcome may bring besides its kind; columns that are missing count as null.
+BROUGHT = {"kick_off": "timestamp", "competition": "string", "season": "string"}
 
 
 def decide(excluded: Column, cached: Column, state: Column, kick_off: Column, now: Column) -> Column:
@@ -34,7 +36,8 @@ def advance(outcome: Column, attempts: Column) -> tuple[Column, Column, Column]:
     """(state, attempts, complete) after an outcome.
 
     'empty': no announcement, one more attempt, archived at the third. 'announced': Scheduled, the count
-    starts again. 'withdrawn': Archived. 'report': Archived and complete. 'no_report': Live_Post.
+    starts again. 'withdrawn': Archived. 'report': Archived and complete. 'no_report': Live_Post. A poll
+    asks for the announcement first, so the count has started again when the report adds its attempt.
     """
     tried = F.coalesce(attempts, F.lit(0))
     state = (
@@ -43,10 +46,35 @@ def advance(outcome: Column, attempts: Column) -> tuple[Column, Column, Column]:
         .when(outcome.isin("withdrawn", "report"), "Archived")
         .otherwise("Live_Post")
     )
-    count = F.when(outcome == "empty", tried + 1).when(outcome == "announced", 0).when(outcome == "no_report", F.lit(1)).otherwise(tried)
+    count = F.when(outcome == "empty", tried + 1).when(outcome.isin("announced", "withdrawn"), 0).otherwise(1)
     return state, count.cast("int"), outcome == "report"
 
 
+def _brought(outcomes: DataFrame) -> list[Column]:
+    return [(F.col(c) if c in outcomes.columns else F.lit(None).cast(kind)).alias(c) for c, kind in BROUGHT.items()]
+
+
+def _folded(rows: Column, start: Column) -> Column:
+    """State after an array of outcomes in order; those after a match is archived no longer count.
+
+    An empty announcement also empties what was known of the match.
+    """
+
+    def step(acc: Column, row: Column) -> Column:
+        state, attempts, complete = advance(row["outcome"], acc["attempts"])
+        known = [F.when(row["outcome"] != "empty", F.coalesce(row[c], acc[c])).alias(c) for c in BROUGHT]
+        after = F.struct(state.alias("state"), attempts.alias("attempts"), complete.alias("complete"), row["polled"].alias("last_poll"), *known)
+        return F.when(acc["state"].eqNullSafe(F.lit("Archived")), acc).otherwise(after)
+
+    return F.aggregate(rows, start, step)
+
+
+def _gathered(outcomes: DataFrame) -> DataFrame:
+    """(match_id, rows): the outcomes of a match in order of their polls."""
+    rows = outcomes.select("match_id", F.struct("polled", "outcome", *_brought(outcomes)).alias("row"))
+    return rows.groupBy("match_id").agg(F.array_sort(F.collect_list("row")).alias("rows"))
+
+
 def plan_polls(ids: DataFrame, tracking: DataFrame, excluded: DataFrame, cached: DataFrame, now: Column) -> DataFrame:
     """(match_id, action) for every id of the ranges."""
     rows = (
@@ -58,37 +86,30 @@ def plan_polls(ids: DataFrame, tracking: DataFrame, excluded: DataFrame, cached:
 
 
 def apply_outcomes(tracking: DataFrame, outcomes: DataFrame) -> DataFrame:
-    """Tracking after ``outcomes(match_id, outcome, kick_off, polled)``, one per match; other rows stay."""
-    old = tracking.select("match_id", F.col("attempts").alias("_a"), F.col("kick_off").alias("_k"))
-    joined = outcomes.join(old, "match_id", "left")
-    state, attempts, complete = advance(F.col("outcome"), F.col("_a"))
-    changed = joined.select(
-        "match_id", state.alias("state"), F.coalesce("kick_off", "_k").alias("kick_off"), F.col("polled").alias("last_poll"), attempts.alias("attempts"), complete.alias("complete")
-    )
-    return upsert(tracking, changed, "match_id")
-
+    """Tracking after ``outcomes(match_id, outcome, polled, ...)``, any number per match; other rows stay.
 
-def replay(outcomes: DataFrame, order: str = "polled") -> DataFrame:
-    """Final state of every match after all its outcomes in order, without earlier state, in one pass.
-
-    The state depends on the last outcome and on the empties since the count last started again;
-    outcomes after a match is archived no longer count.
+    The outcomes of a match are folded in one pass over what is tracked of it.
     """
-    rows = F.array_sort(F.collect_list(F.struct(order, "outcome")))
-    start = F.struct(F.lit(None).cast("string").alias("state"), F.lit(0).alias("attempts"), F.lit(False).alias("complete"))
+    fields = [F.col(c) for c in ("state", "attempts", "complete", "last_poll", *BROUGHT)]
+    old = tracking.select("match_id", F.struct(*fields).alias("_old"))
+    none = F.struct(*[F.lit(None).cast(tracking.schema[c].dataType).alias(c) for c in ("state", "attempts", "complete", "last_poll", *BROUGHT)])
+    joined = _gathered(outcomes).join(old, "match_id", "left")
+    changed = joined.select("match_id", _folded(F.col("rows"), F.coalesce("_old", none)).alias("s")).select("match_id", "s.*")
+    return upsert(tracking, changed.select(*tracking.columns), "match_id")
 
-    def step(acc: Column, row: Column) -> Column:
-        state, attempts, complete = advance(row["outcome"], acc["attempts"])
-        after = F.struct(state.alias("state"), attempts.alias("attempts"), complete.alias("complete"))
-        return F.when(acc["state"].eqNullSafe(F.lit("Archived")), acc).otherwise(after)
 
-    return outcomes.groupBy("match_id").agg(F.aggregate(rows, start, step).alias("s")).select("match_id", "s.state", "s.attempts", "s.complete")
+def replay(outcomes: DataFrame) -> DataFrame:
+    """(match_id, state, attempts, complete) of every match after all its outcomes, without earlier state."""
+    kinds = {"state": "string", "attempts": "int", "complete": "boolean", "last_poll": outcomes.schema["polled"].dataType} | BROUGHT
+    start = F.struct(*[F.lit(None).cast(kind).alias(c) for c, kind in kinds.items()])
+    return _gathered(outcomes).select("match_id", _folded(F.col("rows"), start).alias("s")).select("match_id", "s.state", "s.attempts", "s.complete")
 
 
 def migrate_legacy(tracking: DataFrame, cached: DataFrame) -> DataFrame:
     """Cached matches that are not tracked count as archived and complete."""
     missing = cached.select("match_id").distinct().join(tracking, "match_id", "left_anti")
-    rows = missing.select("match_id", F.lit("Archived").alias("state"), F.lit(None).cast("timestamp").alias("kick_off"), F.lit(None).cast("timestamp").alias("last_poll"), F.lit(0).alias("attempts"), F.lit(True).alias("complete"))
+    known = {"match_id": F.col("match_id"), "state": F.lit("Archived"), "attempts": F.lit(0), "complete": F.lit(True)}
+    rows = missing.select(*[known.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in tracking.schema])
     return tracking.unionByName(rows)
 
 
@@ -99,20 +120,19 @@ def state_counts(tracking: DataFrame) -> DataFrame:
 def stream_states(outcomes: DataFrame, path: str, checkpoint: str):
     """Start a stream of outcomes that keeps the tracking table at ``path``: one keyed merge per micro-batch.
 
-    Each batch writes a new version folder and only then moves the pointer, and a batch that is run again
-    starts from the same earlier version, so replays do not count an outcome twice.
+    Each batch writes a version folder of its own from the latest one before it, and a batch that is run
+    again starts from the same earlier version, so replays do not count an outcome twice. Readers take the
+    version with the highest number that holds a success mark.
     """
 
     def merge(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
-        before = f"{path}/version={epoch - 1}"
-        tracking = spark.read.schema(STATE).parquet(before) if epoch else spark.createDataFrame([], STATE)
-        last = batch.groupBy("match_id").agg(F.array_sort(F.collect_list(F.struct("polled", "outcome", "kick_off"))).alias("rows"))
-        n = last.agg(F.max(F.size("rows"))).first()[0] or 0
-        for k in range(n):
-            one = last.filter(F.size("rows") > k).select("match_id", F.col("rows")[k]["outcome"].alias("outcome"), F.col("rows")[k]["kick_off"].alias("kick_off"), F.col("rows")[k]["polled"].alias("polled"))
-            live = one.join(tracking.filter("state = 'Archived'").select("match_id"), "match_id", "left_anti")
-            tracking = apply_outcomes(tracking, live)
-        tracking.write.mode("overwrite").parquet(f"{path}/version={epoch}")
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+        names = [f.getPath().getName() for f in files.listStatus(folder)] if files.exists(folder) else []
+        done = [int(n.removeprefix("version=")) for n in names if n.startswith("version=") and files.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{n}/_SUCCESS"))]
+        before = max((n for n in done if n < epoch), default=None)
+        tracking = spark.createDataFrame([], STATE) if before is None else spark.read.schema(STATE).parquet(f"{path}/version={before}")
+        apply_outcomes(tracking, batch).write.mode("overwrite").parquet(f"{path}/version={epoch}")
 
     return outcomes.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
