@@ -137,3 +137,43 @@ def test_names_and_search(spark):
     assert fined.first()["team"] == "Тиверија"
     letters = masters.alphabet_index(spark.createDataFrame([("Ана",), ("Ѓока",), ("1x",)], "n string"), "n")
     assert {r["letter"] for r in letters.collect()} == {"А", "Ѓ"}
+
+
+def test_persons_equal_brute_force(spark):
+    """First fit over random intervals of a few names, against a direct reading of the rule."""
+    import random
+
+    r = random.Random(6)
+    spans = []
+    for n in range(12):
+        for k in range(r.randint(1, 7)):
+            first = D(2020, 1, 1) + dt.timedelta(days=r.randint(0, 1200))
+            kind = r.choice(("senior", "child", None))
+            spans.append((f"n{n}", f"T{r.randint(1, 3)}", 1000 + k, first, first + dt.timedelta(days=r.randint(0, 250)), kind == "senior", kind == "child"))
+    df = spark.createDataFrame(spans, "name string, team string, cluster int, first date, last date, senior boolean, child boolean")
+    got = {(x["name"], x["team"], x["cluster"]): (x["person"], x["homonym"]) for x in identity.persons(df).collect()}
+
+    def fits(group, row):
+        everyone = [*group, row]
+        if any(x[5] for x in everyone) and any(x[6] for x in everyone):
+            return False
+        for x in group:
+            late, early = max(row[3], x[3]), min(row[4], x[4])
+            gap = (late - early).days
+            allowed = 60 if 6 in (late.month, early.month) or 7 in (late.month, early.month) else 15
+            moving = any(m in (6, 7, 8, 9) for m in (late.month, early.month)) or all(m in (11, 12, 1, 2) for m in (late.month, early.month))
+            if gap <= allowed and (gap <= 0 or not moving):
+                return False
+        return True
+
+    for name in {x[0] for x in spans}:
+        groups = []
+        own = sorted((x for x in spans if x[0] == name), key=lambda x: (x[3], x[1], x[2]))
+        for row in own:
+            home = next((g for g in groups if fits(g, row)), None)
+            if home is None:
+                groups.append(home := [])
+            home.append(row)
+        for i, g in enumerate(groups):
+            for row in g:
+                assert got[row[:3]] == (i + 1, len(groups) > 1)

@@ -69,3 +69,8 @@ def interval_gap(start_a: Column, end_a: Column, start_b: Column, end_b: Column)
 
 def gap_threshold(boundary: Column, summer: int = 60, other: int = 15) -> Column:
     return F.when(F.month(boundary).isin(6, 7), summer).otherwise(other)
+
+
+def local_time(c: Column, zone: str = "Europe/Skopje") -> Column:
+    """The instant at which clocks in ``zone`` show a time stamp without zone (its clock time is kept)."""
+    return F.to_utc_timestamp(c, zone)

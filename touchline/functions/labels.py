@@ -29,6 +29,12 @@ YOUTH_WORDS = (
     r"|пионер|pioner|кадет|kadet|cadet"
 )
 ROUND_ORDER = (("1/64", 1.0), ("1/32", 2.0), ("1/16", 3.0), ("1/8", 4.0), ("1/4", 5.0), ("1/2", 6.0), ("3/4", 6.5))
+DIVISIONS = ((r"прва\s+мфл|prva\s+mfl", "Прва МФЛ"), (r"втора\s+мфл|vtora\s+mfl", "Втора МФЛ"), (r"трета\s+мфл|treta\s+mfl", "Трета МФЛ"))
+POSITIONS = {
+    "GK": "goalkeeper", "DL": "defender", "DC": "defender", "DR": "defender", "DM": "midfielder", "WBL": "defender", "WBR": "defender", "ML": "midfielder",
+    "MC": "midfielder", "MR": "midfielder", "AML": "forward", "AMC": "forward", "AMR": "forward", "SC": "forward",
+}
+ROLE_ORDER = ("referee_main", "referee_asst1", "referee_asst2", "referee_asst4", "var_referee", "var_assistant", "var_operator", "match_delegate", "match_kontrolor")
 SHORT_MATCHES = {60: ("Кадети", "Кадетска"), 80: ("Младинци", "Младинска", "Петлиња", "Помали петлиња")}
 OFFICIAL_ROLES = (
     (r"главен\s+судија|main\s+referee|referee\s+main", "referee_main"),
@@ -75,6 +81,18 @@ def is_youth(raw: Column, competition: Column) -> Column:
     return category(raw, competition).isin(*YOUTH) | words.rlike(YOUTH_WORDS)
 
 
+def division(competition: Column) -> Column:
+    """Division of a league by its name, else null."""
+    text = F.lower(F.trim(competition))
+    return F.coalesce(*[F.when(text.rlike(pattern), label) for pattern, label in DIVISIONS])
+
+
+def role_order(role: Column) -> Column:
+    """Place of an official's role in a match; unknown roles after the known ones."""
+    known = F.array_position(F.array(*[F.lit(r) for r in ROLE_ORDER]), role)
+    return F.when(F.coalesce(known, F.lit(0)) > 0, known).otherwise(len(ROLE_ORDER) + 1)
+
+
 def match_duration(category_label: Column) -> Column:
     """Minutes of a match: cadets 60, youth and the younger 80, others 90."""
     out = F.lit(90)

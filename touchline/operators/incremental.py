@@ -23,14 +23,36 @@ def affected_matches(current: DataFrame, built: DataFrame, modified: DataFrame,
     return scope.union(modified.select("match_id")).union(results).distinct()
 
 
-def affected_scope(matches: DataFrame, affected: DataFrame, appearances: DataFrame, newly_cancelled: DataFrame) -> DataFrame:
-    """(kind, key): competitions, teams and players whose pages change; newly cancelled matches touch competitions."""
-    hit = matches.join(affected, "match_id", "left_semi")
-    touched = matches.join(affected.union(newly_cancelled.select("match_id")).distinct(), "match_id", "left_semi")
-    competitions = touched.select(F.lit("competition").alias("kind"), F.concat_ws("__", "competition", "season").alias("key"))
-    teams = hit.select(F.lit("team").alias("kind"), F.explode(F.array("home", "away")).alias("key"))
-    players = appearances.join(affected, "match_id", "left_semi").select(F.lit("player").alias("kind"), F.col("player_id").alias("key"))
-    return competitions.union(teams).union(players).filter("key is not null").distinct()
+def affected_scope(
+    matches: DataFrame, affected: DataFrame, appearances: DataFrame, newly_cancelled: DataFrame,
+    officials: DataFrame | None = None, stadiums: DataFrame | None = None, staff: DataFrame | None = None,
+) -> DataFrame:
+    """(kind, key): whose pages change: competitions, teams and players, and those of the tables given.
+
+    Newly cancelled matches touch competitions. ``officials`` and ``staff`` (match_id, name), ``stadiums``
+    (match_id, ground). Affected matches are marked once.
+    """
+    marked = affected.select("match_id", F.lit(True).alias("_hit")).union(newly_cancelled.select("match_id", F.lit(False)))
+    touched = matches.join(marked.groupBy("match_id").agg(F.max("_hit").alias("_hit")), "match_id")
+    competition = F.struct(F.lit("competition").alias("kind"), F.concat_ws("__", "competition", "season").alias("key"))
+    sides = [F.when(F.col("_hit"), F.struct(F.lit("team").alias("kind"), F.col(c).alias("key"))) for c in ("home", "away")]
+    rows = touched.select(F.explode(F.array_compact(F.array(competition, *sides))).alias("k")).select("k.kind", "k.key")
+    people = {"player": (appearances, "player_id"), "referee": (officials, "name"), "stadium": (stadiums, "ground"), "staff": (staff, "name")}
+    for kind, (table, column) in people.items():
+        if table is not None:
+            rows = rows.union(table.join(affected, "match_id", "left_semi").select(F.lit(kind), F.col(column)))
+    return rows.filter("key is not null").distinct()
+
+
+def to_backfill(cached: DataFrame, column: str = "officials") -> DataFrame:
+    """match_ids of cached records that were never asked for a nested field (null; empty means asked, none)."""
+    return cached.filter(F.col(column).isNull()).select("match_id")
+
+
+def backfilled(cached: DataFrame, answers: DataFrame, column: str = "officials") -> DataFrame:
+    """Cached records with the field of ``answers(match_id, column)`` where it was never asked for and is not empty now."""
+    told = answers.filter(F.size(column) > 0).select("match_id", F.col(column).alias("_new"))
+    return cached.join(told, "match_id", "left").withColumn(column, F.coalesce(column, "_new")).drop("_new")
 
 
 def exclusion_changes(excluded: DataFrame, cached_excluded: DataFrame) -> DataFrame:

@@ -8,12 +8,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from touchline.functions.calendar import long_season, season_year, strip_season
-from touchline.functions.labels import category, category_key, is_cup, mapped, official_role, STAFF_ROLES
+from touchline.functions.labels import category, category_key, is_cup, mapped, official_role, POSITIONS, STAFF_ROLES
 from touchline.functions.minutes import show_minute, sort_minute
 from touchline.functions.text import (
-    cyrillic_to_latin, distinct_words, group_label, join_key, last_word_first, search_terms, slug, standard_name, strip_parenthesis, team_key,
+    cyrillic_to_latin, distinct_words, group_label, is_latin, join_key, last_word_first, latin_to_cyrillic, non_empty, search_terms, slug, squish, standard_name,
+    strip_parenthesis, team_key,
 )
-from touchline.operators.tables import first_rows, numbered, ordering, union_by_name
+from touchline.operators.tables import argmax_column, first_rows, numbered, ordering, union_by_name
 
 
 def standard_names(rows: DataFrame, columns: list[str]) -> DataFrame:
@@ -103,11 +104,87 @@ def staff(rows: DataFrame, coaches: DataFrame) -> DataFrame:
     return known.unionByName(spare.select("match_id", "team", "name", F.lit("head_coach").alias("role")))
 
 
-def entity_names(names: DataFrame, translations: DataFrame, languages: tuple[str, ...] = ("sq", "es", "en")) -> DataFrame:
-    """(name, mk, one column per language): translation (the smallest of several), else transliteration. ``translations(name, lang, text)``."""
+def entity_names(names: DataFrame, translations: DataFrame, languages: tuple[str, ...] = ("sq", "es", "en"), countries: DataFrame | None = None, clubs: DataFrame | None = None) -> DataFrame:
+    """(name, mk, one column per language): translation (the smallest of several), else transliteration.
+
+    ``translations(name, lang, text)``. A country's translation in ``countries(mk, one column per language)``
+    wins over that, and the Latin spelling of ``clubs(original, corrected)`` (by squished lower-case name) over all.
+    """
     wide = translations.groupBy("name").pivot("lang", list(languages)).agg(F.min("text"))
-    joined = names.select("name").distinct().join(wide, "name", "left")
-    return joined.select("name", F.col("name").alias("mk"), *[F.coalesce(F.col(lang), cyrillic_to_latin(F.col("name"))).alias(lang) for lang in languages])
+    rows = names.select("name").distinct().join(wide, "name", "left")
+    told = {lang: F.coalesce(F.col(lang), cyrillic_to_latin(F.col("name"))) for lang in languages}
+    if countries is not None:
+        own = [lang for lang in languages if lang in countries.columns]
+        once = countries.filter("mk is not null").groupBy(F.col("mk").alias("_mk")).agg(*[F.min(lang).alias(f"_{lang}") for lang in own])
+        rows = rows.join(once, F.col("name") == F.col("_mk"), "left")
+        told |= {lang: F.coalesce(F.col(f"_{lang}"), told[lang]) for lang in own}
+    if clubs is not None:
+        once = clubs.groupBy(join_key(F.col("original")).alias("_ck")).agg(F.min("corrected").alias("_club"))
+        rows = rows.join(once, join_key(F.col("name")) == F.col("_ck"), "left")
+        told = {lang: F.coalesce(F.col("_club"), c) for lang, c in told.items()}
+    return rows.select("name", F.col("name").alias("mk"), *[c.alias(lang) for lang, c in told.items()])
+
+
+def stadiums(records: DataFrame, matches: DataFrame) -> DataFrame:
+    """(match_id, ground) of all records with sides, day, competition and category of their match."""
+    context = [c for c in ("home", "away", "day", "competition", "season", "category") if c in matches.columns]
+    return records.select("match_id", "ground").join(matches.select("match_id", *context), "match_id", "left")
+
+
+def with_match_flag(events: DataFrame, matches: DataFrame) -> DataFrame:
+    """Events with the cancelled flag that their match has now; null for unknown matches."""
+    return events.drop("cancelled").join(matches.select("match_id", "cancelled"), "match_id", "left")
+
+
+def counted_events(events: DataFrame, matches: DataFrame) -> DataFrame:
+    """Events without those of cancelled, withdrawn and officially decided matches."""
+    out = [F.col(c).eqNullSafe(True) for c in ("cancelled", "withdrawn", "official") if c in matches.columns]
+    return events.join(matches.filter(reduce(Column.__or__, out)).select("match_id"), "match_id", "left_anti")
+
+
+def bios(sheet: DataFrame, cities: DataFrame | None = None) -> DataFrame:
+    """(player_id, position, nationality, birth, city) of a bio sheet (see ``schemas.TABLES['bios']``).
+
+    The position group is that of the column with the largest value, the first on ties. A city in Latin
+    letters goes to Cyrillic if ``cities(mk)`` knows it so.
+    """
+    best = mapped(argmax_column(list(POSITIONS)), POSITIONS)
+    full = F.when(F.col("first_name").isNotNull() & F.col("second_name").isNotNull(), slug(F.concat_ws(" ", "first_name", "second_name")))
+    rows = sheet.withColumns({"player_id": full, "position": best, "_cyrillic": F.when(is_latin(F.col("city")), latin_to_cyrillic(F.col("city")))})
+    city = F.col("city")
+    if cities is not None:
+        rows = rows.join(cities.select(F.col("mk").alias("_cyrillic")).distinct().withColumn("_known", F.lit(True)), "_cyrillic", "left")
+        city = F.when(F.col("_known"), F.col("_cyrillic")).otherwise(city)
+    return rows.select("player_id", "position", "nationality", F.col("birth").try_cast("date").alias("birth"), city.alias("city"))
+
+
+def display_names(rows: DataFrame, column: str, names: DataFrame, languages: tuple[str, ...] = ("mk", "sq", "es", "en")) -> DataFrame:
+    """One column ``{column}_{language}`` each: the name's translation, else that of its squished lower-case key, else the name."""
+    exact = names.groupBy(F.col("name").alias("_n")).agg(*[F.min(lang).alias(f"_e_{lang}") for lang in languages])
+    loose = names.groupBy(join_key(F.col("name")).alias("_k")).agg(*[F.min_by(F.nullif(lang, F.lit("")), "name").alias(f"_l_{lang}") for lang in languages])
+    joined = rows.join(exact, F.col(column) == F.col("_n"), "left").join(loose, join_key(F.col(column)) == F.col("_k"), "left")
+    named = {f"{column}_{lang}": F.coalesce(F.col(f"_e_{lang}"), F.col(f"_l_{lang}"), F.col(column)) for lang in languages}
+    return joined.withColumns(named).drop("_n", "_k", *[f"_{x}_{lang}" for x in "el" for lang in languages])
+
+
+def player_display(name: Column, player_id: Column) -> Column:
+    """Name of a player in a language, else the id, else '???'; blank and a written-out 'na' are no name."""
+    return F.coalesce(non_empty(name), F.nullif(squish(player_id), F.lit("")), F.lit("???"))
+
+
+def competition_display(name: Column, competition: Column, season: Column, shown_season: Column | None = None) -> Column:
+    """Full name in a language, else the plain one; another season may be shown in place of its own."""
+    text = F.coalesce(name, competition, F.lit("???"))
+    if shown_season is None:
+        return text
+    first = F.instr(text, F.lit("") if season is None else season)
+    swapped = F.concat(F.substring(text, F.lit(1), first - 1), shown_season, F.substring(text, first + F.length(season), F.lit(1 << 30)))
+    return F.when((F.coalesce(season, F.lit("")) != "") & shown_season.isNotNull() & (first > 0), swapped).otherwise(text)
+
+
+def resolved_sanctions(sanctions: DataFrame, teams: DataFrame) -> DataFrame:
+    """(resolved): how many sanctions are of a known team."""
+    return sanctions.join(teams.select("team").distinct(), "team").agg(F.count("*").alias("resolved"))
 
 
 def translated(rows: DataFrame, texts: DataFrame, language: str, default: str = "mk") -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from touchline.functions.calendar import age_on
+from touchline.functions.text import non_empty
 from touchline.operators.tables import first_rows, ordering, ranked
 
 
@@ -133,3 +134,15 @@ def latest_season_card(rows: DataFrame, excluded: str = "(?iu)бараж|baraz|
 
 def top_per_competition(table: DataFrame, order: list[Column], n: int = 5) -> DataFrame:
     return first_rows(table, ["competition", "season"], order, n)
+
+
+def goal_teams(goals: DataFrame, order: list[str]) -> DataFrame:
+    """(competition, season, player_id, teams, last_team) of scorers from their goals, for players without appearances.
+
+    The team is the player's, else the credited one; blank ids and teams do not count.
+    """
+    rows = goals.select("competition", "season", non_empty(F.col("player_id")).alias("player_id"), non_empty(F.coalesce("team", "credited")).alias("team"), F.struct(*order).alias("_o"))
+    rows = rows.filter("competition is not null and player_id is not null and team is not null")
+    firsts = rows.groupBy("competition", "season", "player_id", "team").agg(F.min("_o").alias("_f"), F.max("_o").alias("_l"))
+    names = F.transform(F.array_sort(F.collect_list(F.struct("_f", "team"))), lambda x: x["team"])
+    return firsts.groupBy("competition", "season", "player_id").agg(F.array_join(names, " / ").alias("teams"), F.max_by("team", F.struct("_l", "team")).alias("last_team"))

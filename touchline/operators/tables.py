@@ -122,3 +122,13 @@ def json_rows(df: DataFrame, by: list[str], order: list[str], fields: list[str],
     """One JSON array of ordered objects per group (a page's embedded model)."""
     rows = F.transform(F.array_sort(F.collect_list(F.struct(*order, F.struct(*fields).alias("_o")))), lambda r: r["_o"])
     return df.groupBy(*by).agg(F.to_json(rows, {"ignoreNullFields": "false"}).alias(name))
+
+
+def common_rows(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Distinct rows that both tables hold; null equals null."""
+    return a.intersect(b)
+
+
+def latest_of(df: DataFrame, by: list[str], column: str) -> DataFrame:
+    """(by, column): the largest value of a group, such as its latest round."""
+    return df.groupBy(*by).agg(F.max(column).alias(column))

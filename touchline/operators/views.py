@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from touchline.functions.calendar import parse_date, season_year
-from touchline.functions.labels import category, category_key, is_youth, mapped  # noqa: F401
+from touchline.functions.labels import category, category_key, is_youth, mapped, role_order  # noqa: F401
 from touchline.functions.text import squish
+from touchline.operators.masters import player_display
 from touchline.operators.tables import json_rows, ordering
 
 # ---- Fixed values: category keys and orders, competition orders by name, page folders.
@@ -152,6 +153,66 @@ def competition_hub(matches: DataFrame, table: DataFrame) -> DataFrame:
     return m.join(t, ["competition", "season"], "left")
 
 
+#: Page families that a build may leave out; a full build has all of them.
+SWITCHES = dict.fromkeys(("static", "competition", "match", "player", "team", "referee", "stadium", "staff"), True)
+
+
+def pages_to_build(pages: DataFrame, scope: DataFrame, full: bool = False, switches: dict[str, bool] | None = None) -> DataFrame:
+    """``pages(kind, key)`` of the families that are switched on: all on a full build, else those in ``scope(kind, key)``.
+
+    Static pages have no key of their own and are built whenever they are switched on.
+    """
+    on = [kind for kind, wanted in (SWITCHES | (switches or {})).items() if wanted]
+    wanted = pages.filter(F.col("kind").isin(on))
+    if full:
+        return wanted
+    return wanted.filter("kind = 'static'").union(wanted.filter("kind <> 'static'").join(scope, ["kind", "key"], "left_semi"))
+
+
+def match_snapshots(matches: DataFrame, goals: DataFrame, language: str = "mk") -> DataFrame:
+    """(match_id, snapshot): what a shared picture of a match shows, as JSON: sides, score, goals by side, ground, day and round."""
+
+    def listed(team: str) -> Column:
+        own = F.col("credited") == F.col(team)
+        minute = F.coalesce(F.concat(F.col("minute").cast("string"), F.lit("'")), F.lit(""))
+        goal = F.struct(player_display(F.col("name"), F.col("player_id")).alias("player"), minute.alias("minute"), (F.col("kind") == "own_goal").alias("own_goal"))
+        key = F.struct(F.coalesce(F.col("minute"), F.lit(1 << 30)), F.col("player_id"), goal.alias("g"))
+        return F.transform(F.array_sort(F.collect_list(F.when(own, key))), lambda x: x["g"])
+
+    sides = matches.select("match_id", "home", "away")
+    told = goals.join(sides, "match_id").groupBy("match_id").agg(listed("home").alias("homeGoals"), listed("away").alias("awayGoals"))
+    rows = matches.join(told, "match_id", "left")
+    none = F.array().cast(told.schema["homeGoals"].dataType)
+    text = {c: (F.coalesce(F.col(c).cast("string"), F.lit("")) if c in matches.columns else F.lit("")) for c in ("ground", "day", "time", "competition", "round")}
+    snapshot = F.struct(
+        F.col("home").alias("homeTeam"), F.col("away").alias("awayTeam"), F.coalesce(F.col("goals_home").cast("string"), F.lit("0")).alias("homeScore"),
+        F.coalesce(F.col("goals_away").cast("string"), F.lit("0")).alias("awayScore"), F.coalesce("homeGoals", none).alias("homeGoals"), F.coalesce("awayGoals", none).alias("awayGoals"),
+        *[c.alias(n) for n, c in text.items()], F.lit(language).alias("lang"),
+    )
+    return rows.select("match_id", F.to_json(snapshot).alias("snapshot"))
+
+
+def referee_pages(assignments: DataFrame, matches: DataFrame) -> DataFrame:
+    """One row per official and season: matches with the roles in their order, as JSON."""
+    rows = assignments.withColumn("_o", role_order(F.col("role"))).groupBy("name", "match_id").agg(F.array_sort(F.collect_set(F.struct("_o", "role"))).alias("r"))
+    rows = rows.select("name", "match_id", F.array_join(F.transform("r", lambda x: x["role"]), ", ").alias("roles")).join(matches.select("match_id", "season", "match_date", "home", "away"), "match_id")
+    return json_rows(rows, ["name", "season"], ["match_date", "match_id"], ["match_id", "match_date", "home", "away", "roles"], "matches_data")
+
+
+def stadium_pages(stadiums: DataFrame) -> DataFrame:
+    """One row per ground: its matches and home sides, as JSON."""
+    known = stadiums.filter("ground is not null")
+    m = json_rows(known, ["ground"], ["match_id"], ["match_id", "home", "away"], "matches_data")
+    return m.join(known.groupBy("ground").agg(F.array_join(F.array_sort(F.collect_set("home")), " / ").alias("home_sides")), "ground")
+
+
+def home_portal(latest: DataFrame) -> DataFrame:
+    """One row per competition and season: the matches of its latest round, as JSON."""
+    last = latest.groupBy("competition", "season").agg(F.max("round").alias("round"))
+    rows = latest.join(last, ["competition", "season", "round"])
+    return json_rows(rows, ["competition", "season", "round"], ["match_date", "match_id"], ["match_id", "home", "away", "goals_home", "goals_away"], "matches_data")
+
+
 def team_pages(rosters: DataFrame, matches: DataFrame) -> DataFrame:
     """One row per (team, season): roster and matches, as JSON."""
     r = json_rows(rosters, ["team", "season"], ["player_id"], ["player_id", "called_up", "played", "minutes", "goals"], "roster_data")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from touchline.functions import calendar, labels, text
-from touchline.operators import identity, incremental, masters, tables, views
+from touchline.operators import identity, incremental, masters, players, tables, views
 from touchline.plans import analogs as a
 from touchline.plans.match_queries import longs, query
 from touchline.sources import match_pages
@@ -172,3 +172,150 @@ def municipal_groups(spark, sf_dir):
 def roster_places(spark, sf_dir):
     rows = tables.numbered(a.appearances(spark, sf_dir), ["match_id"], views.roster_order("shirt"), "place")
     return longs(rows.select("match_id", "team", "place", "player_id"), "place")
+
+
+@query(
+    """SELECT match_id, CASE match_id % 4 WHEN 0 THEN 'Прва МФЛ' WHEN 1 THEN 'Трета МФЛ' END AS division, CAST(CASE match_id % 3 WHEN 0 THEN 1 WHEN 1 THEN 5 ELSE 10 END AS BIGINT) AS role_place FROM matches"""
+)
+def division_and_role_order(spark, sf_dir):
+    k = F.col("match_id")
+    name = F.when(k % 4 == 0, " ПРВА  МФЛ 25/26").when(k % 4 == 1, "Treta mfl").otherwise("Прва лига")
+    role = F.when(k % 3 == 0, "referee_main").when(k % 3 == 1, "var_referee").otherwise("referee_role_x")
+    return longs(a.matches(spark, sf_dir).select("match_id", labels.division(name).alias("division"), labels.role_order(role).alias("role_place")), "role_place")
+
+
+@query(
+    """, e AS (SELECT g.match_id, player_id, minute, cancelled, official FROM goals g JOIN matches USING (match_id, competition, season))
+SELECT CAST(cancelled AS VARCHAR) AS cancelled, count(*) AS n, CAST(count(*) FILTER (NOT cancelled AND NOT official) AS BIGINT) AS counted FROM e GROUP BY 1"""
+)
+def event_flags(spark, sf_dir):
+    m, g = a.matches(spark, sf_dir), a.goals(spark, sf_dir)
+    flagged = masters.with_match_flag(g, m).withColumn("n", F.lit(1)).withColumn("counted", F.lit(0))
+    counted = masters.with_match_flag(masters.counted_events(g, m), m).withColumn("n", F.lit(0)).withColumn("counted", F.lit(1))
+    rows = flagged.unionByName(counted).groupBy(F.col("cancelled").cast("string").alias("cancelled")).agg(F.sum("n").alias("n"), F.sum("counted").alias("counted"))
+    return rows
+
+
+@query(
+    """SELECT s_suppkey, CASE WHEN s_suppkey % 11 = 0 THEN NULL ELSE 'ana_' || CAST(s_suppkey AS VARCHAR) END AS player_id, CASE WHEN s_suppkey % 7 = 0 THEN NULL WHEN s_suppkey % 3 = 0 THEN 'goalkeeper' WHEN s_suppkey % 3 = 1 THEN 'forward' ELSE 'midfielder' END AS position,
+  CASE WHEN s_suppkey % 2 = 0 THEN 'Охрид' ELSE 'Berlin' END AS city, CASE WHEN s_suppkey % 5 <> 0 THEN DATE '2000-01-02' END AS birth FROM supplier""",
+    base=False,
+)
+def bio_positions(spark, sf_dir):
+    k = F.col("s_suppkey")
+    top = {"GK": 0, "SC": 1, "MC": 2}
+    values = [F.when(k % 7 != 0, F.when(k % 3 == top.get(p, 9), 20.0).otherwise(3.0)).alias(p) for p in labels.POSITIONS]
+    sheet = a.table(spark, sf_dir, "supplier").select(
+        "s_suppkey", F.when(k % 11 != 0, "Ана").alias("first_name"), k.cast("string").alias("second_name"), k.cast("string").alias("nationality"),
+        F.when(k % 5 == 0, "unknown").otherwise("2000-01-02").alias("birth"), F.when(k % 2 == 0, "Ohrid").otherwise("Berlin").alias("city"), *values,
+    )
+    cities = spark.createDataFrame([("Охрид",), ("Скопје",)], "mk string")
+    out = masters.bios(sheet, cities)
+    return out.select(F.col("nationality").cast("long").alias("s_suppkey"), "player_id", "position", "city", "birth")
+
+
+@query(
+    """SELECT match_id, CASE match_id % 4 WHEN 0 THEN 'En exact' WHEN 1 THEN 'En loose' WHEN 2 THEN 'unknown' END AS name_en, CASE match_id % 3 WHEN 0 THEN 'X' WHEN 1 THEN 'p' || CAST(match_id AS VARCHAR) ELSE '???' END AS player, CASE WHEN match_id % 2 = 0 THEN 'Liga 24/25' ELSE 'Cup' END AS competition FROM matches"""
+)
+def display_names(spark, sf_dir):
+    k = F.col("match_id")
+    names = spark.createDataFrame([("Ана Б", "En exact"), ("АНА  В", "En loose"), ("Ана Г", None)], "name string, en string")
+    rows = a.matches(spark, sf_dir).select(
+        "match_id", F.when(k % 4 == 0, "Ана Б").when(k % 4 == 1, " ана в").when(k % 4 == 2, "unknown").alias("name"),
+        masters.player_display(F.when(k % 3 == 0, "X").when(k % 3 == 1, " na "), F.when(k % 3 == 1, F.concat(F.lit("p"), k.cast("string")))).alias("player"),
+        masters.competition_display(F.when(k % 2 == 0, "Liga 25/26"), F.lit("Cup"), F.lit("25/26"), F.lit("24/25")).alias("competition"),
+    )
+    return masters.display_names(rows, "name", names, ("en",)).select("match_id", "name_en", "player", "competition")
+
+
+@query(
+    """, f AS (SELECT competition, season, player_id, credited AS team, min((match_id, minute)) AS f, max((match_id, minute)) AS l FROM goals GROUP BY ALL)
+SELECT competition, season, player_id, string_agg(team, ' / ' ORDER BY f, team) AS teams, max_by(team, (l, team)) AS last_team FROM f GROUP BY ALL"""
+)
+def goal_teams(spark, sf_dir):
+    return players.goal_teams(a.goals(spark, sf_dir).withColumn("team", F.lit(" ")).withColumn("team", F.nullif(F.trim("team"), F.lit(""))), ["match_id", "minute"])
+
+
+@query(
+    """, p AS (SELECT 'team' AS kind, home AS key FROM matches UNION SELECT 'player', player_id FROM appearances UNION SELECT 'static', 'index')
+SELECT kind, key FROM p WHERE kind = 'static' OR (kind = 'team' AND key IN ('Team 01', 'Team 02'))"""
+)
+def pages_to_build(spark, sf_dir):
+    pages = a.matches(spark, sf_dir).select(F.lit("team").alias("kind"), F.col("home").alias("key")).distinct()
+    pages = pages.union(a.appearances(spark, sf_dir).select(F.lit("player"), "player_id").distinct()).union(spark.sql("SELECT 'static', 'index'"))
+    scope = spark.createDataFrame([("team", "Team 01"), ("team", "Team 02"), ("player", "P001")], "kind string, key string")
+    return views.pages_to_build(pages, scope, switches={"player": False})
+
+
+@query(
+    """, g AS (SELECT match_id, string_agg('{"player":"' || player_id || '","minute":"' || CAST(minute AS VARCHAR) || '\'\'","own_goal":' || CASE kind WHEN 'own_goal' THEN 'true' ELSE 'false' END || '}', ',' ORDER BY minute, player_id, kind = 'own_goal') FILTER (credited = home) AS h,
+  string_agg('{"player":"' || player_id || '","minute":"' || CAST(minute AS VARCHAR) || '\'\'","own_goal":' || CASE kind WHEN 'own_goal' THEN 'true' ELSE 'false' END || '}', ',' ORDER BY minute, player_id, kind = 'own_goal') FILTER (credited = away) AS w
+  FROM goals JOIN matches USING (match_id, competition, season) GROUP BY 1)
+SELECT match_id, '{"homeTeam":"' || home || '","awayTeam":"' || away || '","homeScore":"' || CAST(goals_home AS VARCHAR) || '","awayScore":"' || CAST(goals_away AS VARCHAR) || '","homeGoals":[' || coalesce(h, '') || '],"awayGoals":[' || coalesce(w, '') || '],"ground":"","day":"","time":"","competition":"' || competition || '","round":"' || CAST(round AS VARCHAR) || '","lang":"mk"}' AS snapshot
+FROM matches LEFT JOIN g USING (match_id)"""
+)
+def match_snapshots(spark, sf_dir):
+    return views.match_snapshots(a.matches(spark, sf_dir), a.goals(spark, sf_dir).withColumn("name", F.lit(None).cast("string")))
+
+
+@query(
+    """, r AS (SELECT DISTINCT match_id, 'Official ' || CAST(l_suppkey % 30 AS VARCHAR) AS name, CASE shirt % 3 WHEN 0 THEN 'referee_main' WHEN 1 THEN 'match_delegate' ELSE 'referee_asst1' END AS role FROM ev),
+o AS (SELECT match_id, name, string_agg(role, ', ' ORDER BY CASE role WHEN 'referee_main' THEN 1 WHEN 'referee_asst1' THEN 2 ELSE 8 END) AS roles FROM r GROUP BY ALL)
+SELECT name, season, count(*) AS n, min_by(roles, (match_date, match_id)) AS first_roles FROM o JOIN matches USING (match_id) GROUP BY ALL"""
+)
+def referee_pages(spark, sf_dir):
+    k = F.col("shirt") % 3
+    rows = a._events(spark, sf_dir).select("match_id", F.concat(F.lit("Official "), (F.col("l_suppkey") % 30).cast("string")).alias("name"), F.when(k == 0, "referee_main").when(k == 1, "match_delegate").otherwise("referee_asst1").alias("role"))
+    models = views.referee_pages(rows, a.matches(spark, sf_dir))
+    read = F.from_json("matches_data", "array<struct<match_id:long,roles:string>>")
+    return models.select("name", "season", F.size(read).cast("long").alias("n"), F.get(read, 0)["roles"].alias("first_roles"))
+
+
+@query(
+    """, l AS (SELECT competition, season, max(round) AS round FROM matches GROUP BY ALL)
+SELECT competition, season, CAST(round AS BIGINT) AS round, '[' || string_agg('{"match_id":' || CAST(match_id AS VARCHAR) || ',"home":"' || home || '","away":"' || away || '","goals_home":' || CAST(goals_home AS VARCHAR) || ',"goals_away":' || CAST(goals_away AS VARCHAR) || '}', ',' ORDER BY match_date, match_id) || ']' AS matches_data
+FROM matches JOIN l USING (competition, season, round) GROUP BY ALL"""
+)
+def home_portal(spark, sf_dir):
+    return longs(views.home_portal(a.matches(spark, sf_dir)), "round")
+
+
+@query(
+    """SELECT 'Ground ' || CAST(round % 7 AS VARCHAR) AS ground, count(*) AS n, string_agg(DISTINCT home, ' / ' ORDER BY home) AS home_sides FROM matches WHERE round % 7 <> 6 GROUP BY 1"""
+)
+def stadium_pages(spark, sf_dir):
+    m = a.matches(spark, sf_dir)
+    records = m.select("match_id", F.when(F.col("round") % 7 != 6, F.concat(F.lit("Ground "), (F.col("round") % 7).cast("string"))).alias("ground"))
+    models = views.stadium_pages(masters.stadiums(records, m))
+    return models.select("ground", F.size(F.from_json("matches_data", "array<struct<match_id:long>>")).cast("long").alias("n"), "home_sides")
+
+
+@query(
+    """SELECT match_id, CASE match_id % 4 WHEN 0 THEN CAST(1 AS BIGINT) WHEN 1 THEN CAST(0 AS BIGINT) WHEN 2 THEN CASE WHEN match_id % 5 = 0 THEN CAST(2 AS BIGINT) END END AS officials FROM matches"""
+)
+def backfilled_officials(spark, sf_dir):
+    """Records asked before (one official or none), never asked and answered now, and never asked for."""
+    k, kind = F.col("match_id"), "array<struct<role:string,name:string>>"
+    one = F.array(F.struct(F.lit("r").alias("role"), F.lit("n").alias("name")))
+    cached = a.matches(spark, sf_dir).select("match_id", F.when(k % 4 == 0, one).when(k % 4 == 1, F.array().cast(kind)).cast(kind).alias("officials"))
+    asked = incremental.to_backfill(cached).filter("match_id % 4 = 2")
+    answers = asked.select("match_id", F.when(k % 5 == 0, F.concat(one, one)).otherwise(F.array().cast(kind)).alias("officials"))
+    return incremental.backfilled(cached, answers).select("match_id", F.when(F.col("officials").isNotNull(), F.size("officials")).cast("long").alias("officials"))
+
+
+@query("SELECT home AS team FROM matches WHERE season = 1996 INTERSECT SELECT away FROM matches WHERE season = 1997")
+def common_teams(spark, sf_dir):
+    m = a.matches(spark, sf_dir)
+    return tables.common_rows(m.filter("season = 1996").select(F.col("home").alias("team")), m.filter("season = 1997").select(F.col("away")))
+
+
+@query(
+    """SELECT n_name, 'Country ' || n_name AS en, CASE WHEN n_nationkey % 4 = 0 THEN 'Club' ELSE 'Es ' || n_name END AS es FROM nation""", base=False)
+def entity_overrides(spark, sf_dir):
+    n = a.table(spark, sf_dir, "nation")
+    told = n.select(F.col("n_name").alias("name"), F.lit("es").alias("lang"), F.concat(F.lit("Es "), "n_name").alias("text"))
+    countries = n.select(F.col("n_name").alias("mk"), F.concat(F.lit("Country "), "n_name").alias("en"))
+    clubs = n.filter("n_nationkey % 4 = 0").select(F.concat(F.lit(" "), F.lower("n_name")).alias("original"), F.lit("Club").alias("corrected"))
+    out = masters.entity_names(n.select(F.col("n_name").alias("name")), told, ("en", "es"), countries)
+    es = masters.entity_names(n.select(F.col("n_name").alias("name")), told, ("es",), clubs=clubs)
+    return out.select(F.col("name").alias("n_name"), "en").join(es.select(F.col("name").alias("n_name"), "es"), "n_name")

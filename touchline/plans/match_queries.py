@@ -403,13 +403,19 @@ SCOPE = """, affected AS (SELECT match_id FROM matches WHERE match_id % 50 = 0 U
     SCOPE
     + """SELECT 'competition' AS kind, competition || '__' || CAST(season AS VARCHAR) AS key FROM matches WHERE match_id IN (SELECT match_id FROM affected) OR match_id % 61 = 0
 UNION SELECT 'team', unnest([home, away]) FROM matches WHERE match_id IN (SELECT match_id FROM affected)
-UNION SELECT 'player', player_id FROM appearances WHERE match_id IN (SELECT match_id FROM affected)"""
+UNION SELECT 'player', player_id FROM appearances WHERE match_id IN (SELECT match_id FROM affected)
+UNION SELECT 'stadium', 'Ground ' || CAST(round % 7 AS VARCHAR) FROM matches WHERE match_id IN (SELECT match_id FROM affected)
+UNION SELECT 'referee', 'Official ' || CAST(l_suppkey % 40 AS VARCHAR) FROM ev WHERE match_id IN (SELECT match_id FROM affected)
+UNION SELECT 'staff', 'Coach ' || home FROM matches WHERE match_id IN (SELECT match_id FROM affected)"""
 )
 def incremental_scope(spark, sf_dir):
     m = a.matches(spark, sf_dir)
     results = m.filter("match_id % 91 = 0").select("match_id", "goals_home", "goals_away")
     affected = incremental.affected_matches(m, m.filter("match_id % 50 <> 0"), m.filter("match_id % 77 = 0"), results, results.limit(0))
-    return incremental.affected_scope(m, affected, a.appearances(spark, sf_dir), m.filter("match_id % 61 = 0"))
+    officials = a._events(spark, sf_dir).select("match_id", F.concat(F.lit("Official "), (F.col("l_suppkey") % 40).cast("string")).alias("name"))
+    grounds = m.select("match_id", F.concat(F.lit("Ground "), (F.col("round") % 7).cast("string")).alias("ground"))
+    staff = m.select("match_id", F.concat(F.lit("Coach "), "home").alias("name"))
+    return incremental.affected_scope(m, affected, a.appearances(spark, sf_dir), m.filter("match_id % 61 = 0"), officials, grounds, staff)
 
 
 @query(
@@ -552,7 +558,9 @@ def missing_rounds(spark, sf_dir):
 
 @query("SELECT competition, season, max(round) AS latest, count(*) AS n, count(DISTINCT home) AS teams FROM matches GROUP BY ALL")
 def latest_round(spark, sf_dir):
-    return a.matches(spark, sf_dir).groupBy("competition", "season").agg(F.max("round").alias("latest"), F.count("*").alias("n"), F.count_distinct("home").alias("teams"))
+    m = a.matches(spark, sf_dir)
+    latest = tables.latest_of(m, ["competition", "season"], "round").withColumnRenamed("round", "latest")
+    return latest.join(m.groupBy("competition", "season").agg(F.count("*").alias("n"), F.count_distinct("home").alias("teams")), ["competition", "season"])
 
 
 @query(

@@ -34,7 +34,10 @@ def read_table(spark: SparkSession, name: str, paths: list[str], header: bool =
     reader = spark.read.schema(schema).option("header", header).option("sep", sep).option("encoding", "UTF-8").option("multiLine", True).option("escape", '"').option("enforceSchema", True)
     if comment:
         reader = reader.option("comment", comment)
-    return reader.csv(found)
+    try:
+        return reader.option("mode", "PERMISSIVE").csv(found)
+    except AnalysisException:  # not a table of text at all
+        return spark.createDataFrame([], schema)
 
 
 def lines(spark: SparkSession, path: str) -> DataFrame:
@@ -70,6 +73,20 @@ def table_styles(spark: SparkSession, path: str) -> DataFrame:
     return rows.select("competition", F.trim(parts[0]).try_cast("int").alias("position"), F.get(parts, F.lit(1)).alias("color"), F.get(parts, F.lit(2)).alias("legend")).filter("position is not null")
 
 
+def style_legend(styles: DataFrame) -> DataFrame:
+    """(competition, color, legend) of a table's styles, each once, in order of their first position."""
+    once = styles.groupBy("competition", "color", "legend").agg(F.min("position").alias("position"))
+    return once.filter("legend is not null and legend <> ''").select("competition", "color", "legend", "position")
+
+
+def search_data(spark: SparkSession, path: str) -> DataFrame:
+    """The search index as its writer left it (a JSON array of objects); an absent file gives no rows."""
+    schema = "name string, type string, target_id string, terms string"
+    if first_existing(spark, [path]) is None:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("multiLine", True).json(path)
+
+
 def groups_table(groups: DataFrame) -> DataFrame:
     """Competition groups with their teams as an array."""
     return groups.withColumn("teams", F.transform(F.split("teams", r"\|"), lambda t: F.trim(t))).withColumnRenamed("name", "competition")
