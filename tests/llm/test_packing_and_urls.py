@@ -40,9 +40,11 @@ def test_codec_equals_tokenizer():
     codec = packing.WordCodec(queries.tokenizer_path(), keep=50)
     r = random.Random(1)
     letters = "abcXYZ éÀßñ'0123 .,!?-_\t\n##$%&*'s't're I'LL Don't İﬁΣς日本<|endoftext|>\u0085\u001c½²ªº´`ÿ×÷"
-    for _ in range(300):
-        text = "".join(r.choice(letters) for _ in range(r.randint(0, 60)))
-        assert codec.encode(text) == codec.whole(text), repr(text)
+    for _ in range(60):
+        texts = ["".join(r.choice(letters) for _ in range(r.randint(0, 60))) for _ in range(5)]
+        assert codec.encode(texts) == [codec.whole(t) for t in texts], texts
+    once = "".join(chr(c) for c in range(1, 256)) + " one,two,three's"
+    assert codec.encode([once] * 3) == [codec.whole(once)] * 3
 
 
 def test_packing_round_trip(spark):

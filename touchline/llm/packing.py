@@ -21,55 +21,116 @@ import bisect
 import re
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from touchline.llm.common import materialize
+from touchline.llm.common import batches_by_size, materialize
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
-#: Buckets that number the pieces of one length; raise it with the cluster (a bucket's share of one length is one task's).
-BUCKETS = 256
+#: Pieces a bucket, on average: pieces of one length are numbered bucket by bucket.
+BUCKET = 20_000
 
-#: Texts of these characters only are normalised alike by str.lower() and by the tokenizer file's own steps.
-_PLAIN = re.compile("[\\t\\n\\r\\x20-\\x7eÀ-ÖØ-öø-ÿ]*")
+#: Texts of these characters only (as Latin-1 bytes) are normalised alike by str.lower() and by the tokenizer file's own steps.
+_PLAIN = bytes(c for c in range(256) if c in b"\t\n\r" or 0x20 <= c <= 0x7E or c >= 0xC0 and c not in (0xD7, 0xF7))
 #: The file's pre-token pattern, over those characters.
 _TOKEN = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zÀ-ÿ]+|[0-9]|[^\sa-z0-9À-ÿ]+")
 
 
+class _Lookup(dict):
+    """Values by key; what is asked for in vain is noted in ``missed`` and counts as nothing."""
+
+    def __init__(self):
+        super().__init__()
+        self.missed: set[str] = set()
+        self.vain = False
+
+    def __missing__(self, key: str) -> bytes:
+        self.missed.add(key)
+        self.vain = True
+        return b""
+
+    def joined(self, keys: list[str]) -> bytes:
+        return b"".join(map(self.__getitem__, keys))
+
+
 class WordCodec:
     """Token ids of texts as little-endian unsigned 32-bit bytes.
 
-    The file's tokenizer splits a text into pre-tokens and merges each on its own, so the ids
-    of a pre-token are looked up once and reused. Texts with characters outside the plain set,
-    or with a special token's string in them, go through the tokenizer whole.
+    The file's tokenizer splits a text into pre-tokens, none of which holds white space, and merges
+    each on its own. So the ids of a white-space word are put together once from those of its
+    pre-tokens and reused, up to ``keep`` words. New pre-tokens are merged many at a time: with blanks
+    between them, each ends with an id of a word end. Texts with characters outside the plain set, or
+    with a special token's string in them, go through the tokenizer whole.
     """
 
-    def __init__(self, path: str, keep: int = 400_000):
+    def __init__(self, path: str, keep: int = 500_000):
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
         self._keep = keep
-        self._known: dict[str, bytes] = {}
+        self._tokens, self._words = _Lookup(), _Lookup()
         self._specials = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
+        vocabulary = self._tokenizer.get_vocab()
+        self._ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self._ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.asarray(self._tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
 
     def whole(self, text: str) -> bytes:
-        return np.asarray(self._tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-
-    def encode(self, text: str) -> bytes:
-        if not _PLAIN.fullmatch(text) or any(s in text for s in self._specials):
-            return self.whole(text)
-        known, out = self._known, []
-        if len(known) > self._keep:
-            known.clear()
-        for token in _TOKEN.findall(text.lower()):
-            ids = known.get(token)
-            if ids is None:
-                ids = known[token] = self.whole(token)
-            out.append(ids)
-        return b"".join(out)
+        return self._ids(text).tobytes()
+
+    def _plain(self, text: str) -> bool:
+        try:
+            other = text.encode("latin-1").translate(None, _PLAIN)
+        except UnicodeEncodeError:
+            return False
+        return not other and not any(s in text for s in self._specials)
+
+    def _learn(self) -> None:
+        """Put the missed words' ids together."""
+        split = {w: _TOKEN.findall(w) for w in self._words.missed}
+        new = list({t for found in split.values() for t in found if t not in self._tokens})
+        for at in range(0, len(new), 5000):
+            part = new[at : at + 5000]
+            ids = self._ids(" ".join(part))
+            cuts = np.flatnonzero(self._ends[ids]) + 1
+            if len(cuts) == len(part):
+                pieces = [p.tobytes() for p in np.split(ids, cuts[:-1])]
+            else:
+                pieces = [self.whole(t) for t in part]
+            self._tokens.update(zip(part, pieces, strict=True))
+        self._words.update((w, self._tokens.joined(found)) for w, found in split.items())
+        self._words.missed.clear()
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        for known in (self._words, self._tokens):
+            if len(known) > self._keep:
+                known.clear()
+        out, again = [], []
+        for i, text in enumerate(texts):
+            if not self._plain(text):
+                out.append(self.whole(text))
+                continue
+            self._words.vain = False
+            out.append(self._words.joined(text.lower().split()))
+            if self._words.vain:
+                again.append(i)
+        if again:
+            self._learn()
+            for i in again:
+                out[i] = self._words.joined(texts[i].lower().split())
+        return out
+
+
+@lru_cache(maxsize=2)
+def codec_of(path: str) -> WordCodec:
+    """One codec per tokenizer file and Python worker, so that later tasks start with its words."""
+    return WordCodec(path)
 
 
 def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 4096, end_id: int = 1) -> DataFrame:
@@ -78,17 +139,19 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 4096, end
     step = 4 * capacity
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        codec = WordCodec(tokenizer_path)
+        codec = codec_of(tokenizer_path)
         for batch in batches:
-            rows = []
-            for doc, text in zip(batch["doc_id"].tolist(), batch["text"].tolist(), strict=True):
-                ids = (codec.encode(text) if text else b"") + end
-                for k, at in enumerate(range(0, len(ids), step)):
-                    part = ids[at : at + step]
-                    rows.append((doc, k, at // 4, len(part) // 4, zlib.crc32(part)))
-            out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
-            out["doc_id"] = out["doc_id"].astype("Int64")
-            yield out
+            for some in batches_by_size(batch):
+                rows = []
+                encoded = codec.encode([t or "" for t in some["text"].tolist()])
+                for doc, ids in zip(some["doc_id"].tolist(), encoded, strict=True):
+                    ids += end
+                    for k, at in enumerate(range(0, len(ids), step)):
+                        part = ids[at : at + step]
+                        rows.append((doc, k, at // 4, len(part) // 4, zlib.crc32(part)))
+                out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
+                out["doc_id"] = out["doc_id"].astype("Int64")
+                yield out
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(cut, PIECES)
 
@@ -172,11 +235,12 @@ def plan(histogram: dict[int, int], capacity: int) -> list[tuple[int, int, int,
     return slots
 
 
-def pack(pieces: DataFrame, capacity: int = 4096, buckets: int = BUCKETS) -> DataFrame:
+def pack(pieces: DataFrame, capacity: int = 4096, bucket: int = BUCKET) -> DataFrame:
     """Add sequence_id and offset to ``pieces`` (written once, so that tokens are not made twice)."""
-    spread = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(buckets)).cast("int")
-    kept = materialize(pieces.withColumn("bucket", spread))
-    # (length, bucket) counts: at most capacity x buckets rows, whatever the input.
+    kept = materialize(pieces)
+    buckets = max(64, -(-kept.count() // bucket))
+    kept = kept.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(buckets)))
+    # (length, bucket) counts: at most one row a piece, and capacity x buckets rows.
     counts = kept.groupBy("length", "bucket").agg(F.count("*").alias("n"))
     before = Window.partitionBy("length").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
