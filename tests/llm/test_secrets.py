@@ -56,7 +56,7 @@ def test_ledger_is_incremental(spark):
     assert fresh.isEmpty()
     key = [F.col("path"), secrets.joined_spans(F.col("findings")).alias("s")]
     assert again.select(*key).exceptAll(full.select(*key)).isEmpty()
-    newer = tuple(secrets.Rule(r.kind, r.pattern, "2", r.group, r.at_least) if r.kind == "hex" else r for r in secrets.RULES)
+    newer = tuple(secrets.Rule(r.kind, r.pattern, "9", r.group, r.at_least) if r.kind == "hex" else r for r in secrets.RULES)
     _, only = secrets.scan_versions(rows, ledger, newer)
     assert {r[0] for r in only.select("kind").distinct().collect()} == {"hex"}
 
@@ -66,3 +66,20 @@ def test_redaction(spark):
     assert out[0]["text"] is None and out[2]["text"] == "nothing here" and out[9]["text"] == "[secret]" and out[9]["n_chars"] == 8
     assert out[5]["text"] == "api_key = 'abcdefg' [secret]\"" and out[5]["blob"] == "s"
     assert secrets.redact_documents(frame(spark).limit(0)).count() == 0 and secrets.redact_documents(frame(spark)).count() == len(TEXTS) + 3
+
+
+def test_redaction_reads_the_ledger(spark):
+    rows = frame(spark)
+    _, ledger = secrets.scan_versions(rows.withColumnRenamed("doc_id", "path"))
+    key = ["doc_id", "text"]
+    assert secrets.redact_documents(rows, ledger=ledger).select(*key).exceptAll(secrets.redact_documents(rows).select(*key)).isEmpty()
+    # What the ledger does not say of a blob it knows is not found again.
+    silent = ledger.withColumn("findings", F.slice("findings", 1, 0))
+    assert secrets.redact_documents(rows, ledger=silent).select(*key).exceptAll(rows.select(*key)).isEmpty()
+
+
+def test_private_keys_and_many_findings(spark):
+    key = "-----BEGIN RSA PRIVATE KEY-----\nMIIB" + "AbC/+9=" * 30 + "\nxyz=\n-----END RSA PRIVATE KEY-----"
+    rows = [(1, f"a {key} b"), (2, "a -----BEGIN PRIVATE KEY-----\nMIIBabc\nQQ== and on"), (3, "token=abcdefgh " * 5000)]
+    out = {r["doc_id"]: r["text"] for r in secrets.redact_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert out == {1: "a [secret] b", 2: "a [secret] and on", 3: "[secret] " * 5000}

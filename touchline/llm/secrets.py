@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 
 from touchline.llm.common import skewed_join
 
+#: Matches that are put in place together.
+RUN = 200
 FINDING = "struct<start:int,ord:int,kind:string,end:int>"
 
 
@@ -41,7 +43,8 @@ BASE_RULES = (
 )
 #: What the scan adds to them.
 EXTRA_RULES = (
-    Rule("pem", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----", "1"),
+    # From the first line to the last one, or what follows of the key if there is none.
+    Rule("pem", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----(?:[A-Za-z0-9+/=:,\s-]*?-----END [A-Z ]{0,40}PRIVATE KEY-----|[A-Za-z0-9+/=\r\n]*)", "2"),
     Rule("webtoken", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", "1"),
 )
 RULES = BASE_RULES + EXTRA_RULES
@@ -70,29 +73,44 @@ def spans(text: Column, rule: Rule, order: int) -> Column:
         ),
     )
     empty = F.array().cast(f"array<{FINDING}>")
-    walked = F.aggregate(
-        each,
-        F.struct(F.lit(0).alias("at"), empty.alias("out")),
-        lambda acc, x: F.struct(
-            (acc["at"] + x["gap"] + x["len"]).alias("at"),
-            F.when(
-                x["ok"],
-                F.array_append(
-                    acc["out"],
-                    F.struct(
-                        (acc["at"] + x["gap"]).alias("start"),
-                        F.lit(order).alias("ord"),
-                        F.lit(rule.kind).alias("kind"),
-                        (acc["at"] + x["gap"] + x["len"]).alias("end"),
-                    ).cast(FINDING),
-                ),
-            )
-            .otherwise(acc["out"])
-            .alias("out"),
+
+    def walked(start: Column, rows: Column) -> Column:
+        return F.aggregate(
+            rows,
+            F.struct(start.alias("at"), empty.alias("out")),
+            lambda acc, x: F.struct(
+                (acc["at"] + x["gap"] + x["len"]).alias("at"),
+                F.when(
+                    x["ok"],
+                    F.array_append(
+                        acc["out"],
+                        F.struct(
+                            (acc["at"] + x["gap"]).alias("start"),
+                            F.lit(order).alias("ord"),
+                            F.lit(rule.kind).alias("kind"),
+                            (acc["at"] + x["gap"] + x["len"]).alias("end"),
+                        ).cast(FINDING),
+                    ),
+                )
+                .otherwise(acc["out"])
+                .alias("out"),
+            ),
+            lambda acc: acc["out"],
+        )
+
+    # An append copies the array, so matches go RUN at a time: first where each run begins, then the runs.
+    runs = F.transform(F.sequence(F.lit(0), F.greatest(F.lit(0), F.floor((F.size(each) - 1) / RUN).cast("int"))), lambda i: F.slice(each, i * RUN + 1, RUN))
+    placed = F.aggregate(
+        runs,
+        F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<at:int,rows:array<struct<gap:int,len:int,ok:boolean>>>>").alias("out")),
+        lambda acc, run: F.struct(
+            F.aggregate(run, acc["at"], lambda at, x: at + x["gap"] + x["len"]).alias("at"),
+            F.array_append(acc["out"], F.struct(acc["at"].alias("at"), run.alias("rows"))).alias("out"),
         ),
         lambda acc: acc["out"],
     )
-    return F.when(text.rlike(rule.pattern), walked).otherwise(empty)
+    found_all = F.flatten(F.transform(placed, lambda p: walked(p["at"], p["rows"])))
+    return F.when(text.rlike(rule.pattern), found_all).otherwise(empty)
 
 
 def scan_blobs(blobs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
@@ -101,39 +119,42 @@ def scan_blobs(blobs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     return blobs.select("blob", F.array_sort(F.concat(*parts)).alias("findings"))
 
 
+def known_findings(
+    blobs: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule, ...] = RULES
+) -> tuple[DataFrame, DataFrame]:
+    """(findings of ``blobs(blob, text)`` that have any: blob, findings; the ledger's new rows).
+
+    ``ledger(blob, kind, version, findings)`` holds what earlier runs have scanned. A rule whose version
+    is in the ledger for a blob is not run on it again; its findings are read there. Of the ledger
+    only the rows of these blobs and rule versions are aggregated.
+    """
+    if ledger is None:
+        scanned = scan_blobs(blobs, rules)
+        return scanned.filter(F.size("findings") > 0), _ledger_rows(scanned, rules)
+    done = ledger.filter(F.concat_ws(":", "kind", "version").isin([f"{r.kind}:{r.version}" for r in rules]))
+    done = done.join(blobs.select("blob").hint("merge"), "blob", "left_semi")
+    seen = done.groupBy("blob").agg(F.collect_set("kind").alias("seen"))
+    todo = blobs.join(seen.hint("merge"), "blob", "left").withColumn("seen", F.coalesce("seen", F.array().cast("array<string>")))
+    todo = todo.filter(F.size("seen") < len(rules))
+    none = F.array().cast(f"array<{FINDING}>")
+    parts = [F.when(F.array_contains("seen", r.kind), none).otherwise(spans(F.col("text"), r, i)) for i, r in enumerate(rules)]
+    scanned = todo.select("blob", "seen", F.array_sort(F.concat(*parts)).alias("findings"))
+    order = F.create_map(*[F.lit(v) for i, r in enumerate(rules) for v in (r.kind, i)])
+    old = done.select("blob", F.transform("findings", lambda x: F.struct(x["start"], order[x["kind"]], x["kind"], x["end"]).cast(FINDING)).alias("findings"))
+    known = scanned.select("blob", "findings").union(old).groupBy("blob").agg(F.array_sort(F.flatten(F.collect_list("findings"))).alias("findings"))
+    return known.filter(F.size("findings") > 0), _ledger_rows(scanned, rules, F.col("seen"))
+
+
 def scan_versions(
     versions: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule, ...] = RULES
 ) -> tuple[DataFrame, DataFrame]:
     """Scan ``versions(path, text)`` (one row per historical version) against ``ledger``.
 
-    ``ledger(blob, kind, version, findings)`` holds what earlier runs have scanned. Returns
-    (findings per version row: path, blob, findings; the ledger's new rows). A rule whose
-    version is in the ledger for a blob is not run on it again; its findings are read there.
+    Returns (findings per version row: path, blob, findings; the ledger's new rows).
     """
     rows = versions.select("path", blob_id(F.col("text")).alias("blob"))
     blobs = versions.select(blob_id(F.col("text")).alias("blob"), F.coalesce("text", F.lit("")).alias("text")).groupBy("blob").agg(F.first("text").alias("text"))
-    if ledger is None:
-        scanned = scan_blobs(blobs, rules)
-        fresh = _ledger_rows(scanned, rules)
-        known = scanned
-    else:
-        done = ledger.filter(F.concat_ws(":", "kind", "version").isin([f"{r.kind}:{r.version}" for r in rules]))
-        seen = done.groupBy("blob").agg(F.collect_set("kind").alias("seen"))
-        todo = blobs.join(seen, "blob", "left").withColumn("seen", F.coalesce("seen", F.array().cast("array<string>")))
-        todo = todo.filter(F.size("seen") < len(rules))
-        none = F.array().cast(f"array<{FINDING}>")
-        parts = [F.when(F.array_contains("seen", r.kind), none).otherwise(spans(F.col("text"), r, i)) for i, r in enumerate(rules)]
-        scanned = todo.select("blob", "seen", F.array_sort(F.concat(*parts)).alias("findings"))
-        fresh = _ledger_rows(scanned, rules, F.col("seen"))
-        order = {r.kind: i for i, r in enumerate(rules)}
-        old = done.select(
-            "blob",
-            F.transform("findings", lambda x: F.struct(x["start"], F.create_map(*[F.lit(v) for kv in order.items() for v in kv])[x["kind"]], x["kind"], x["end"]).cast(FINDING)).alias("findings"),
-        )
-        known = (
-            scanned.select("blob", "findings").union(old).groupBy("blob").agg(F.array_sort(F.flatten(F.collect_list("findings"))).alias("findings"))
-        )
-    hits = known.filter(F.size("findings") > 0)
+    hits, fresh = known_findings(blobs, ledger, rules)
     joined = skewed_join(rows, hits, "blob", [F.col("path")], "left")
     empty = F.array().cast(f"array<{FINDING}>")
     return joined.select("path", "blob", F.coalesce("findings", empty).alias("findings")), fresh
@@ -180,16 +201,16 @@ def redact(text: Column, findings: Column, mark: str = "[secret]") -> Column:
     return F.when(F.size(findings) == 0, text).otherwise(walked)
 
 
-def redact_documents(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mark: str = "[secret]") -> DataFrame:
+def redact_documents(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mark: str = "[secret]", ledger: DataFrame | None = None) -> DataFrame:
     """``docs`` with every finding in ``text`` replaced, and ``n_chars``, if there, counted again.
 
-    Each blob is scanned once; its findings go back to all its rows over salted keys. A text
+    Each blob is scanned once, or read from ``ledger``; its findings go back to all its rows. A text
     without findings stays as it is, null included.
     """
     # The row travels as one struct, so no column of the input can clash with those used here.
     rows = docs.select(F.struct("*").alias("row"), blob_id(F.col("text")).alias("blob"))
     blobs = rows.select("blob", F.coalesce("row.text", F.lit("")).alias("text")).groupBy("blob").agg(F.first("text").alias("text"))
-    hits = scan_blobs(blobs, rules).filter(F.size("findings") > 0)
+    hits, _ = known_findings(blobs, ledger, rules)
     joined = skewed_join(rows, hits, "blob", [F.col("row.doc_id")], "left")
     found = F.coalesce("findings", F.array().cast(f"array<{FINDING}>"))
     changed = {"text": redact(F.col("row.text"), found, mark)}
