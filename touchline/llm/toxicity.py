@@ -9,12 +9,14 @@ Only ``toxic`` is labelled. The two categories before it are derived from the sa
 where the markers are the features found most typical of toxic rows.
 
 Text features are whole words and word beginnings of 4 to 6 letters, present or absent, over the
-whole text. Training takes at most ``TRAIN_TOXIC`` toxic and ``TRAIN_CLEAN`` other labelled rows,
-chosen by a hash of the id; the labels' ids are broadcast, so the corpus isn't shuffled. Scoring
-streams every document past the model (a few hundred weights).
+whole text. For out-of-fold predictions features and markers are chosen anew without the fold, so
+nothing of a row's label reaches its own. Training takes at most ``TRAIN_TOXIC`` toxic and
+``TRAIN_CLEAN`` other labelled rows of ``SAMPLE_BYTES`` bytes in all, chosen by a hash of the id; their ids are
+broadcast, so the corpus isn't shuffled. Scoring streams every document past the model (a few
+hundred weights).
 
 Null and empty texts score as texts without any feature. Null labels are no labels; of several
-labels of one document the largest counts. Without both classes the model says 0 for all.
+labels of one document the largest counts; of several texts of one doc_id training takes the smallest. Without both classes the model says 0 for all.
 """
 
 from __future__ import annotations
@@ -33,6 +35,8 @@ from pyspark.sql import functions as F
 CATEGORIES = ("marked", "dense", "toxic")
 TRAIN_TOXIC = 2000
 TRAIN_CLEAN = 3000
+#: Bytes of all texts that are collected for training.
+SAMPLE_BYTES = 48_000_000
 FEATURES = 256
 FOLDS = 3
 PREFIXES = (4, 5, 6)
@@ -117,41 +121,66 @@ def train(rows: list[tuple[str | None, int]], limit: int = FEATURES, folds: int
     y = np.array([t for _, t in rows], dtype=np.float64)
     if not len(y) or y.min() == y.max():
         return Chain()
-    chosen = choose_features([t for t, v in rows if v], [t for t, v in rows if not v], limit)
-    chain = Chain({f: i for i, f in enumerate(chosen)})
-    reader = Reader(chain)
-    sets = [reader.features(t) for t, _ in rows]
-    x = chain.matrix(sets)
-    marking = {i for i, f in enumerate(chosen) if f.endswith("$") or len(f) == PREFIXES[0]}
-    markers = np.array([len(marking & s) for s in sets])
-    targets = [y * (markers >= 1), y * (markers >= 2), y]
+    texts = [t for t, _ in rows]
+    # Each fold has a view of the rows by features chosen without it; the last view, of all rows, makes the chain.
     fold = np.arange(len(y)) % folds
+    views = [_view(texts, y, fold != k, limit) for k in range(folds)]
+    chain, x, targets = _view(texts, y, fold >= 0, limit)
     earlier = np.zeros((len(y), 0))
-    for target in targets:
-        data = with_bias(x, earlier)
+    for c in range(len(CATEGORIES)):
         out = np.zeros(len(y))
-        for k in range(folds):
-            out[fold == k] = sigmoid(data[fold == k] @ fit_logistic(data[fold != k], target[fold != k]))
-        chain.weights.append(fit_logistic(data, target))
+        for k, (_, own, wanted) in enumerate(views):
+            data = with_bias(own, earlier)
+            out[fold == k] = sigmoid(data[fold == k] @ fit_logistic(data[fold != k], wanted[c][fold != k]))
+        chain.weights.append(fit_logistic(with_bias(x, earlier), targets[c]))
         earlier = np.hstack([earlier, out[:, None]])
     return chain
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, column: str, most: dict[int, int], where: str = "true") -> list[tuple[str, int]]:
-    """At most ``most[value]`` (text, value) rows per label value, the same on every run.
+def _view(texts: list[str | None], y: np.ndarray, seen: np.ndarray, limit: int) -> tuple[Chain, np.ndarray, list[np.ndarray]]:
+    """(chain without weights, features of all rows, target of each category), chosen by the rows in ``seen``."""
+    toxic, clean = ([t for t, v, s in zip(texts, y, seen, strict=True) if s and v == k] for k in (1, 0))
+    chosen = choose_features(toxic, clean, limit)
+    chain = Chain({f: i for i, f in enumerate(chosen)})
+    reader = Reader(chain)
+    sets = [reader.features(t) for t in texts]
+    marking = {i for i, f in enumerate(chosen) if f.endswith("$") or len(f) == PREFIXES[0]}
+    markers = np.array([len(marking & s) for s in sets])
+    return chain, chain.matrix(sets), [y * (markers >= 1), y * (markers >= 2), y]
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, column: str, most: dict[int, int], where: str = "true", limit: int = SAMPLE_BYTES) -> list[tuple[str, int]]:
+    """At most ``most[value]`` (text, value) rows per label value and about ``limit`` bytes in all, the same on every run.
 
     Chosen by a hash of the id among the labels alone; their ids (bounded by ``most``) are
-    broadcast to the scan of the documents.
+    broadcast to the scan of the documents. Sizes come first; ids are taken in order of the hash, of
+    every value the same share of ``limit``, as long as their texts fit.
     """
     once = labels.filter(f"doc_id is not null and {column} is not null and ({where})").groupBy("doc_id").agg(F.max(column).cast("int").alias("y"))
     picks = [once.filter(F.col("y") == v).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n) for v, n in most.items()]
     chosen = picks[0]
     for p in picks[1:]:
         chosen = chosen.union(p)
-    chosen = chosen.withColumnRenamed("doc_id", "_id")
-    found = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("doc_id", "text", "y").collect()
-    unique = {r["doc_id"]: (r["text"], r["y"]) for r in sorted(found, key=lambda r: (r["doc_id"], r["text"] or ""))}
-    return [unique[k] for k in sorted(unique, key=lambda k: (k * 2654435761) % (1 << 32))]
+
+    def texts(of: DataFrame, *columns) -> list:
+        """One row per chosen id, of its smallest text."""
+        of = of.withColumnRenamed("doc_id", "_id")
+        found = docs.select("doc_id", "text").join(F.broadcast(of), F.col("doc_id") == F.col("_id"))
+        return found.groupBy("doc_id", "y").agg(F.min("text").alias("text")).select("doc_id", "y", *columns).collect()
+
+    def mixed(key: int) -> int:
+        return (key * 2654435761) % (1 << 32)
+
+    sizes = sorted(texts(chosen, F.coalesce(F.octet_length("text"), F.lit(0)).alias("n")), key=lambda r: (mixed(r["doc_id"]), r["doc_id"]))
+    held, kept = dict.fromkeys(most, 0), []
+    for r in sizes:
+        if held[r["y"]] + r["n"] <= limit // len(most):
+            held[r["y"]] += r["n"]
+            kept.append((r["doc_id"], r["y"]))
+    if not kept:
+        return []
+    found = {r["doc_id"]: (r["text"], r["y"]) for r in texts(docs.sparkSession.createDataFrame(kept, "doc_id long, y int"), "text")}
+    return [found[k] for k, _ in kept]
 
 
 class Reader:
