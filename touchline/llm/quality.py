@@ -5,8 +5,8 @@ bytes; each overlapping chunk of two ``SEGMENT``-position segments is max-pooled
 and the mean chunk response of every filter are combined into one probability. A filter is a table
 of one weight per place and byte value, so a convolution is a sum of table look-ups.
 
-Training: at most ``TRAIN_ROWS`` labelled rows per class, chosen by a hash of the id; of a long
-text, a window of ``TRAIN_BYTES`` bytes at a random place. Scoring covers every byte. Nothing but
+Training: at most ``TRAIN_ROWS`` labelled rows per class and ``toxicity.SAMPLE_BYTES`` bytes in all, chosen
+by a hash of the id; their whole texts, pooled as in scoring. Scoring covers every byte. Nothing but
 the text's bytes is an input. Null and empty texts are scored as one chunk of padding. Without
 both classes every score is the share of label 1 (0.5 if there are no labels at all).
 """
@@ -26,7 +26,6 @@ STRIDE = 2
 FILTERS = 16
 SEGMENT = 64
 TRAIN_ROWS = 1600
-TRAIN_BYTES = 2048
 EPOCHS = 4
 _SPAN = SEGMENT * STRIDE
 
@@ -57,17 +56,33 @@ def responses(net: Net, data: np.ndarray) -> np.ndarray:
     return total
 
 
+def segments(net: Net, data: np.ndarray, block: int = 1 << 16) -> tuple[np.ndarray, np.ndarray]:
+    """(largest response, its position) of each filter in each segment, computed block by block."""
+    n, tops, args = (len(data) - WIDTH) // _SPAN, [], []
+    step = block // SEGMENT
+    for at in range(0, n, step):
+        m = min(step, n - at)
+        part = responses(net, data[at * _SPAN : (at + m) * _SPAN + WIDTH]).reshape(m, SEGMENT, FILTERS)
+        arg = part.argmax(axis=1)
+        tops.append(np.take_along_axis(part, arg[:, None, :], axis=1)[:, 0])
+        args.append(arg + np.arange(at, at + m)[:, None] * SEGMENT)
+    return np.concatenate(tops), np.concatenate(args)
+
+
+def chunks(net: Net, top: np.ndarray) -> np.ndarray:
+    """Responses of the overlapping chunks of two segments."""
+    return np.maximum(np.maximum(top[1:], top[:-1]) + net.bias, 0)
+
+
 def pooled(net: Net, data: np.ndarray, block: int = 1 << 16) -> np.ndarray:
     """(2 * FILTERS,) of one document: largest and mean chunk response, computed block by block."""
-    segments = (len(data) - WIDTH) // _SPAN
-    tops = []
-    for at in range(0, segments, block // SEGMENT):
-        n = min(block // SEGMENT, segments - at)
-        part = data[at * _SPAN : (at + n) * _SPAN + WIDTH]
-        tops.append(responses(net, part).reshape(n, SEGMENT, FILTERS).max(axis=1))
-    top = np.concatenate(tops)
-    chunks = np.maximum(np.maximum(top[1:], top[:-1]) + net.bias, 0)
-    return np.concatenate((chunks.max(axis=0), chunks.mean(axis=0)))
+    n, tops = (len(data) - WIDTH) // _SPAN, []
+    step = block // SEGMENT
+    for at in range(0, n, step):
+        m = min(step, n - at)
+        tops.append(responses(net, data[at * _SPAN : (at + m) * _SPAN + WIDTH]).reshape(m, SEGMENT, FILTERS).max(axis=1))
+    chunk = chunks(net, np.concatenate(tops))
+    return np.concatenate((chunk.max(axis=0), chunk.mean(axis=0)))
 
 
 def predict(net: Net, text: str | None) -> float:
@@ -100,19 +115,11 @@ def train(rows: list[tuple[str | None, int]], seed: int = 7, epochs: int = EPOCH
             grads = [np.zeros(net.tables.shape, np.float32), np.zeros(FILTERS), np.zeros(2 * FILTERS), 0.0]
             chosen = order[begin : begin + 32]
             for i in chosen.tolist():
-                raw = raws[i]
-                if len(raw) > TRAIN_BYTES:
-                    at = int(rng.integers(0, len(raw) - TRAIN_BYTES + 1))
-                    raw = raw[at : at + TRAIN_BYTES]
-                data = padded(raw)
-                resp = responses(net, data)
-                n = len(resp) // SEGMENT
-                seg = resp.reshape(n, SEGMENT, FILTERS)
-                arg = seg.argmax(axis=1)
-                top = np.take_along_axis(seg, arg[:, None, :], axis=1)[:, 0]
+                data = padded(raws[i])
+                top, arg = segments(net, data)
+                n = len(top)
                 left = top[:-1] >= top[1:]
-                which = np.where(left, np.arange(n - 1)[:, None], np.arange(1, n)[:, None])
-                chunk = np.maximum(np.maximum(top[1:], top[:-1]) + net.bias, 0)
+                chunk = chunks(net, top)
                 best = chunk.argmax(axis=0)
                 h = np.concatenate((chunk.max(axis=0), chunk.mean(axis=0)))
                 p = 1 / (1 + np.exp(-np.clip(h @ net.out + net.out_bias, -30, 30)))
@@ -123,8 +130,8 @@ def train(rows: list[tuple[str | None, int]], seed: int = 7, epochs: int = EPOCH
                 back[best, np.arange(FILTERS)] += d * net.out[:FILTERS]
                 back *= chunk > 0
                 grads[1] += back.sum(axis=0)
-                filters = np.broadcast_to(np.arange(FILTERS), which.shape)
-                position = (which * SEGMENT + arg[which, filters]) * STRIDE
+                filters = np.broadcast_to(np.arange(FILTERS), left.shape)
+                position = np.where(left, arg[:-1], arg[1:]) * STRIDE
                 for j in range(WIDTH):
                     np.add.at(grads[0], (j, data[position + j], filters), back)
             step += 1
