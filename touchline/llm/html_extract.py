@@ -3,11 +3,13 @@
 A page is parsed into leaf blocks: runs of text that no block-level tag interrupts, each with the
 tags, classes, ids and roles of its ancestors. Every block gets indicator features of its ancestors
 and of its text; a two-label chain (main text or not) trained by exact gradients on labelled pages
-is decoded by Viterbi. Scripts, styles, comments and the document head hold no text.
+is decoded by Viterbi. Scripts, styles, templates, the title, input fields and markup comments hold no
+text; whatever else a page holds (formulas, drawings, fallbacks of objects and frames) is text.
 
 Text: character references are decoded, white space inside a block becomes one space, blocks are
 trimmed, empty ones dropped, the main ones joined in page order by one newline. Null and empty
-html give an empty text. Pages are independent rows: nothing is shuffled, collected or capped.
+html give an empty text. Pages are independent rows: nothing is shuffled, collected or capped. A
+page's cost grows with its length, however deep its tags are nested.
 """
 
 from __future__ import annotations
@@ -22,13 +24,16 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Tags whose content is not text, tags that stand alone, tags that run on inside a block.
-_RAW = ("script", "style", "noscript", "template", "textarea", "svg", "iframe", "title", "head", "select", "math", "object")
+#: Tags whose content is not text, tags that stand alone, tags that run on inside a block (so does all within the last two).
+_RAW = ("script", "style", "template", "textarea", "title", "select")
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr img".split())
+_INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i ins kbd label mark object q s samp small span strike strong sub sup time tt u var wbr img math svg".split())
+_ISLANDS = frozenset(("math", "svg"))
 #: Opening one of these ends an open paragraph.
 _ENDS_P = frozenset("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split())
 _ENDS_SELF = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
+#: An inline end tag does not reach over these.
+_BARRIERS = frozenset(("td", "th", "table", "body"))
 
 _MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S
@@ -40,54 +45,80 @@ _SPACE = re.compile(r"\s+")
 
 @dataclass
 class Block:
+    """Text with the innermost block tag, the tags and marks of all ancestors, linked characters and place in the page."""
+
     text: str
-    path: tuple[str, ...]
-    marks: tuple[str, ...]
+    leaf: str
+    tags: frozenset[str]
+    marks: frozenset[str]
     linked: int
     where: float = 0.0
 
 
-def parse(page: str | None) -> list[Block]:
-    """Leaf blocks of a page in page order; unclosed and crossed tags are tolerated."""
+_NONE: frozenset[str] = frozenset()
+
+
+class _Open:
+    """The open tags. Each holds what its ancestors have; a set is shared with the parent where nothing is new."""
+
+    def __init__(self) -> None:
+        self.stack: list[tuple[str, str, frozenset[str], frozenset[str], int]] = [("", "", _NONE, _NONE, 0)]
+        self.places: dict[str, list[int]] = {}
+
+    def has(self, tag: str) -> bool:
+        return bool(self.places.get(tag))
+
+    def push(self, tag: str, marks: list[str]) -> None:
+        _, leaf, tags, held, barrier = self.stack[-1]
+        at = len(self.stack)
+        if tag not in _INLINE:
+            leaf = tag
+            tags = tags if tag in tags else tags | {tag}
+        held = held if held.issuperset(marks) else held.union(marks)
+        self.places.setdefault(tag, []).append(at)
+        self.stack.append((tag, leaf, tags, held, at if tag in _BARRIERS else barrier))
+
+    def pop(self) -> None:
+        self.places[self.stack.pop()[0]].pop()
+
+    def close(self, tag: str) -> None:
+        """End the innermost open ``tag`` and what is in it; without one, nothing."""
+        if not self.has(tag):
+            return
+        at = self.places[tag][-1]
+        if tag in _INLINE and at < self.stack[-1][4]:
+            return
+        while len(self.stack) > at:
+            self.pop()
+
+
+def parse(page: str | None, known: frozenset[str] | None = None) -> list[Block]:
+    """Leaf blocks of a page in page order; unclosed and crossed tags are tolerated. ``known``: the marks that matter (None: all)."""
     if not page:
         return []
     blocks: list[Block] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []
+    open_ = _Open()
     text: list[str] = []
     linked = 0
-    skip: str | None = None
 
     def flush() -> None:
         nonlocal linked
         joined = _SPACE.sub(" ", html_lib.unescape("".join(text))).strip()
         if joined:
-            blocks.append(Block(joined, tuple(t for t, _ in stack if t not in _INLINE), tuple(m for _, ms in stack for m in ms), linked))
+            _, leaf, tags, marks, _ = open_.stack[-1]
+            blocks.append(Block(joined, leaf, tags, marks, linked))
         text.clear()
         linked = 0
 
-    def close(tag: str) -> None:
-        for i in range(len(stack) - 1, -1, -1):
-            if stack[i][0] == tag:
-                del stack[i:]
-                return
-            if stack[i][0] in ("td", "th", "table", "body") and tag != "html" and stack[i][0] != tag and tag in _INLINE:
-                return
-
     def literal(piece: str) -> None:
         nonlocal linked
         if piece:
             text.append(piece)
-            if any(t == "a" for t, _ in stack):
+            if open_.has("a"):
                 linked += len(piece)
 
     at, n = 0, len(page)
     while at < n:
-        if skip:
-            end = re.compile(rf"</{skip}\s*>", re.I).search(page, at)
-            if end is None:
-                break
-            at, skip = end.end(), None
-            continue
         found = _MARKUP.search(page, at)
         if found is None:
             literal(page[at:])
@@ -102,31 +133,40 @@ def parse(page: str | None) -> list[Block]:
         if tag == "br":
             text.append(" ")
             continue
-        if tag not in _INLINE:
+        alone = found[3].rstrip().endswith("/")
+        island = any(map(open_.has, _ISLANDS))
+        inline = tag in _INLINE or island or tag in _RAW and tag != "title"
+        if not inline:
             flush()
         if found[1]:
-            if tag == "p" and not any(t == "p" for t, _ in stack):
-                continue
-            close(tag)
+            open_.close(tag)
             continue
         if tag in _RAW:
-            if tag != "head" and not found[3].rstrip().endswith("/"):
-                skip = tag
+            if not alone and not (island and tag == "title"):
+                end = _END[tag].search(page, at)
+                at = end.end() if end else n
             continue
-        if tag in _ENDS_P and any(t == "p" for t, _ in stack):
-            close("p")
-        for other in _ENDS_SELF.get(tag, ()):
-            if stack and stack[-1][0] == other:
-                stack.pop()
-        if tag in _VOID or found[3].rstrip().endswith("/") and tag not in _ENDS_P:
+        if not inline:
+            if tag == "body":
+                open_.close("head")
+            elif tag in _ENDS_P:
+                open_.close("p")
+            for other in _ENDS_SELF.get(tag, ()):
+                if open_.stack[-1][0] == other:
+                    open_.pop()
+        if tag in _VOID or alone and tag not in _ENDS_P:
             continue
-        stack.append((tag, _marks(found[3])))
+        marks = _marks(found[3])
+        open_.push(tag, marks if known is None else [m for m in marks if m in known])
     flush()
     for i, b in enumerate(blocks):
         b.where = i / max(1, len(blocks) - 1)
     return blocks
 
 
+_END = {tag: re.compile(rf"</{tag}\s*>", re.I) for tag in _RAW}
+
+
 def _marks(attributes: str) -> tuple[str, ...]:
     """Lower-case word pieces of class, id, role and the like; ``hidden`` for what is not shown."""
     out: list[str] = []
@@ -146,8 +186,8 @@ def features(blocks: list[Block]) -> list[list[str]]:
         n = len(b.text)
         words = b.text.count(" ") + 1
         share = b.linked / max(1, n)
-        own = ["bias", f"leaf:{b.path[-1] if b.path else ''}", f"length:{min(6, n.bit_length() // 2)}", f"words:{min(5, words.bit_length())}"]
-        own += [f"in:{t}" for t in set(b.path)] + [f"mark:{m}" for m in set(b.marks)]
+        own = ["bias", f"leaf:{b.leaf}", f"length:{min(6, n.bit_length() // 2)}", f"words:{min(5, words.bit_length())}"]
+        own += [f"in:{t}" for t in b.tags] + [f"mark:{m}" for m in b.marks]
         own.append("links:" + ("all" if share > 0.8 else "some" if share > 0.2 else "few" if share else "none"))
         own.append("ends:" + ("stop" if b.text[-1] in ".!?…:;\"'»”)" else "open"))
         if b.text[0] in "©&" or "©" in b.text:
@@ -165,6 +205,9 @@ class Field:
     step: np.ndarray = field(default_factory=lambda: np.zeros((2, 2)))
     first: np.ndarray = field(default_factory=lambda: np.zeros(2))
 
+    def marks(self) -> frozenset[str]:
+        return frozenset(f[5:] for f in self.vocabulary if f.startswith("mark:"))
+
     def scores(self, rows: list[list[int]]) -> np.ndarray:
         return np.array([self.state[r].sum(axis=0) for r in rows]).reshape(-1, 2)
 
@@ -239,8 +282,9 @@ def train(pages: list[tuple[list[Block], list[int]]], rounds: int = 8, rate: flo
     return model
 
 
-def main_text(model: Field, page: str | None) -> str:
-    blocks = parse(page)
+def main_text(model: Field, page: str | None, known: frozenset[str] | None = None) -> str:
+    """The main blocks of a page; ``known``: the marks that the model has, if they are at hand."""
+    blocks = parse(page, model.marks() if known is None else known)
     if not blocks:
         return ""
     labels = viterbi(model.scores(model.numbers(blocks)), model.step, model.first)
@@ -253,8 +297,9 @@ def extract(pages: DataFrame, model: Field, page_column: str = "page_id") -> Dat
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own = shared.value
+        known = own.marks()
         for batch in batches:
-            texts = [main_text(own, h) for h in batch["html"].tolist()]
+            texts = [main_text(own, h, known) for h in batch["html"].tolist()]
             yield pd.DataFrame({"page_id": batch["page_id"].astype("Int64"), "url": batch["url"], "text": texts, "n_chars": [len(t) for t in texts]})
 
     rows = pages.select(F.col(page_column).cast("long").alias("page_id"), "url", "html")

@@ -66,7 +66,9 @@ class _Writer:
         return self.r.choice((f"<header>{inner}{self.r.choice(('', self.nav()))}</header>", f"<div {self.attribute('header')}>{inner}</div>"))
 
     def footer(self) -> str:
-        inner = self.r.choice((f"&copy; {self.word()}.example &middot; {self.sentence()}", f"<p>&copy; 2024 {self.words(1, 3)}</p><p>{self.sentence()}</p>", self.links(), f"<p>{self.prose()}</p>"))
+        sign, year, dot = self.r.choice(("&copy;", "©", "(c)", "&#169;")), self.r.choice(("", f" {self.r.randint(1999, 2030)}")), self.r.choice((" | ", " - ", " &bull; ", ". ", "<br>"))
+        notice = f"{sign}{year} {self.words(1, 3)}"
+        inner = self.r.choice((notice + dot + self.sentence(), f"<p>{notice}</p><p>{self.sentence()}</p>", f"<small>{self.sentence(2, 5)} {notice}</small>", self.links(), f"<p>{self.prose()}</p>"))
         return self.r.choice((f"<footer>{inner}</footer>", f"<footer {self.attribute('footer')}>{inner}</footer>", f"<div {self.attribute('footer')}>{inner}</div>"))
 
     def boxed(self, part: str) -> str:
@@ -83,16 +85,33 @@ class _Writer:
         each = "".join(f'<div class="comment"><b>{self.word()}</b><p>{self.prose()}</p></div>' if self.r.random() < 0.5 else f"<li><p>{self.prose()}</p></li>" for _ in range(self.r.randint(1, 4)))
         return self.r.choice((f"<section {self.attribute('comments')}><h2>{self.words(1, 2)}</h2>{each}</section>", f"<div {self.attribute('comments')}>{each}</div>", f"<ol {self.attribute('comments')}>{each}</ol>"))
 
+    def script(self) -> str:
+        quoted = self.r.choice(("</div>", "<b>x</b>", "</p>", "<li>", self.words(1, 4)))
+        code = self.r.choice(("{w}.push('{q}')", "if ({w} < 2) {{ {w}2 = '{q}'; }}", "const {w} = '{q}';", "document.write('{q}'); // {w}"))
+        return f"<script{self.r.choice(('', ' async', ' type=module'))}>{code.format(w=self.word(), q=quoted)}</script>"
+
+    def style(self) -> str:
+        rules = " ".join(f".{self.word()} {{ {self.r.choice(('color: red', 'float: left', 'display: flex', 'padding: 4px 2px'))} }}" for _ in range(self.r.randint(1, 3)))
+        return f"<style>{rules}</style>"
+
     def junk(self) -> str:
         kind = self.r.randint(0, 6)
         if kind == 0:
             return f"<!-- {self.words(1, 5)} -->"
         if kind == 1:
-            return f'<script>var t="</p>";{self.word()}(1);</script><style>p{{margin:0}}</style>'
+            return self.r.choice((self.script, self.style))()
         return [self.boxed("ad"), self.boxed("ad"), self.boxed("notice"), self.form(), self.boxed("side")][kind - 2]
 
     # Main text.
 
+    def unclosed(self, text: str) -> str:
+        """Inline tags that are never closed, breaks among the words."""
+        tag = self.r.choice(("i", "b", "em", "span", "strong", "u"))
+        words = text.split(" ")
+        for piece in (f"<{tag}>", self.r.choice(("<br>", "<br/>", "<wbr>", ""))):
+            words.insert(self.r.choice([i for i, w in enumerate(words) if "<" not in w and ">" not in w]), piece)
+        return " ".join(words)
+
     def body(self) -> list[str]:
         out = [f"<h1>{self.words(3, 9)}</h1>"] if self.r.random() < 0.8 else []
         for _ in range(self.r.choice((1, 2, 3, 5, 8, 12))):
@@ -101,7 +120,7 @@ class _Writer:
                 p = self.prose()
                 if self.r.random() < 0.25:
                     p = p.replace(" ", f' <a href="/{self.word()}">{self.word()}</a> ', 1)
-                out.append(self.r.choice((f"<p>{p}</p>", f"<p>{p}</p>", f"<p>{p}", f"<p><b>{p}<br>", f"<p><em>{p}</em></p>", f"<p>{p}</p>\n")))
+                out.append(self.r.choice((f"<p>{p}</p>", f"<p>{p}</p>", f"<p>{p}", f"<p>{self.unclosed(p)}", f"<p><em>{p}</em></p>", f"<p>{p}</p>\n")))
             elif k == 9:
                 out.append(f"<h2>{self.words(1, 6)}</h2>")
             elif k == 10:
@@ -137,7 +156,7 @@ class _Writer:
         after = [x() for x in (lambda: self.boxed("side"), self.comments, self.junk, self.footer) if self.r.random() < 0.55]
         self.r.shuffle(before)
         end = self.r.choice(("</body></html>", "</body></html>", ""))
-        return f"<!DOCTYPE html><html><head><title>{self.words(2, 5)}</title><style>p{{}}</style></head><body>{''.join(before)}{inner}{''.join(after)}{end}"
+        return f"<!DOCTYPE html><html><head><title>{self.words(2, 5)}</title>{self.r.choice((self.style, self.script, str))()}</head><body>{''.join(before)}{inner}{''.join(after)}{end}"
 
 
 def labelled_pages(n: int = 400, seed: int = 11) -> list[tuple[list[Block], list[int]]]:
