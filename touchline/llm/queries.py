@@ -85,7 +85,7 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    listed = spark.createDataFrame(list(URL_RULES), "host string, path string, verdict string")
+    listed = spark.sql("SELECT * FROM VALUES " + ", ".join(map(str, URL_RULES)) + " AS rules(host, path, verdict)")
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), listed).select("page_id", "host", "path", "rule", "verdict")
 
 

@@ -36,10 +36,11 @@ def path_of(url: Column) -> Column:
     return F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)\A.*?://[^/?#]*([^?#]*)", 1)
 
 
-def host_suffixes(host: Column) -> Column:
-    """The host itself and every parent domain: a.b.c gives [a.b.c, b.c, c]."""
+def host_suffixes(host: Column, most: int) -> Column:
+    """The host itself and every parent domain, as far as they have at most ``most`` labels: a.b.c gives [a.b.c, b.c, c]."""
     parts = F.split(host, r"\.", -1)
-    return F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.array_join(F.slice(parts, i, F.size(parts)), "."))
+    first = F.greatest(F.lit(1), F.size(parts) - most + 1)
+    return F.transform(F.sequence(first, F.size(parts)), lambda i: F.array_join(F.slice(parts, i, F.lit(most)), "."))
 
 
 def _block(key: Column, blocks: int) -> Column:
@@ -79,12 +80,14 @@ def judge_urls(pages: DataFrame, listed: DataFrame, default: str = "allow", bloc
         .select("k", F.col("e.verdict").alias("verdict"), F.concat("e.h", "e.p").alias("rule"))
     )
     lengths = sorted(r[0] for r in listed.select(F.length(F.coalesce("path", F.lit("")))).distinct().collect())
+    # No entry fits a suffix of more labels than any listed host has, however many a url's host has.
+    most = listed.agg(F.max(F.size(F.split("host", r"\.", -1)))).first()[0] or 1
 
     rows = pages.select("page_id", "url").withColumns({"host": host_of(F.col("url")), "path": path_of(F.col("url"))})
     prefixes = [F.when(F.length("path") >= n, F.substring("path", 1, n)) for n in lengths]
     paths = F.array_compact(F.array(*prefixes)) if prefixes else F.array().cast("array<string>")
     keys = F.flatten(
-        F.transform(host_suffixes(F.col("host")), lambda h: F.transform(paths, lambda p: F.concat_ws("\n", h, p)))
+        F.transform(host_suffixes(F.col("host"), most), lambda h: F.transform(paths, lambda p: F.concat_ws("\n", h, p)))
     )
     # One row per key plus a keyless row that keeps every page, hit or not.
     probes = rows.withColumn("k", F.explode(F.concat(F.array(F.lit(None).cast("string")), keys)))
