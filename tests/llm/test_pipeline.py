@@ -43,3 +43,28 @@ def test_fit_is_repeatable(spark, sf_dir):
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     a, b = toxicity.fit(docs, labels), toxicity.fit(docs.repartition(5), labels)
     assert a.vocabulary == b.vocabulary and all(np.allclose(x, y) for x, y in zip(a.weights, b.weights, strict=True))
+
+
+SCHEMA = "doc_id long, text string, n_chars long, row int, blob string, k1 string, class_id int, findings string, piece int, seq string"
+
+
+def write_tables(spark, folder, rows, benchmark, labels):
+    spark.createDataFrame([(i, t, None if t is None else len(t), 1, "b", "k", 2, "f", 3, "s") for i, t in rows], SCHEMA).write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame(benchmark, "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    return str(folder)
+
+
+def test_odd_rows_pass_all_stages(spark, tmp_path):
+    """Null and empty texts, null and repeated ids, a very long text, ties and columns with clashing names."""
+    item = " ".join(f"b{i}" for i in range(20))
+    plain = " ".join(f"w{i}" for i in range(40))
+    rows = [(1, plain), (1, plain), (2, None), (3, ""), (None, "alone and fine"), (4, "long " * 60_000), (5, plain.replace("w7", "other")), (6, f"before {item} after"), (7, "token=abcdefghij and more")]
+    folder = write_tables(spark, tmp_path, rows, [(1, item), (2, None), (None, item), (3, "yes")], [(1, 1, 0), (7, 1, None)])
+    out = [r["doc_id"] for r in corpus_pipeline.run(spark, folder).filter("piece = 0").collect()]
+    # 3 and 5 are copies of 2 and 1, 6 holds the item; repeated rows stay repeated
+    assert sorted(map(str, out)) == ["1", "1", "2", "4", "7", "None"]
+
+
+def test_empty_tables_pass_all_stages(spark, tmp_path):
+    assert corpus_pipeline.run(spark, write_tables(spark, tmp_path, [], [], [])).isEmpty()
