@@ -1,26 +1,31 @@
 """Exact-substring dedup by distributed prefix doubling over a sparse suffix array.
 
 Removes every byte covered by a ``LENGTH``-byte string that also starts in a document with a
-smaller id. Positions get ranks for growing prefixes; Spark brings equal ranks together, positions
-whose rank is unique drop out, the rest go on with a longer prefix, until the threshold:
-
-1. *Sampled suffixes.* Of the ``HALF``-byte prefixes that start in a ``LENGTH``-byte window, the one
-   of least rank (a fingerprint) stands for the window. Equal windows choose equal places, so only
-   the chosen places, about one in thirteen, are ranked and sorted.
-2. *Round HALF.* (rank, position) pairs are sorted by rank. Unique ranks: no window there repeats.
-3. *Round 3 HALF.* The rank is paired with the ranks HALF bytes before and after (the surroundings
+smaller id. Every position has a rank for its prefix of 1 byte; the rank of a prefix twice as long is
+that of the pair (rank here, rank at the offset by which it grows): 2, 4, 8, 16 bytes, ``HALF`` (two
+overlapping prefixes of 16), and ``LENGTH``. Up to ``HALF`` bytes ranks are made where the text is; from
+there on Spark brings (rank, position) pairs together in ranges of rank, where they are sorted; positions
+whose rank is unique drop out, the rest go on with the longer prefix, until the threshold:
+
+1. *Round HALF.* Of the ``HALF``-byte prefixes that start in a ``LENGTH``-byte window, the one of least
+   rank stands for the window. Equal windows choose equal places, so only the chosen places, about one
+   in thirteen, are dealt and sorted. Unique ranks: no window there repeats.
+2. *Both sides.* The rank is paired with the ranks ``HALF`` bytes before and after (the surroundings
    that any window of that place can reach). Equal pairs settle all windows of a place at once: all
    but the smallest document's are repeats. A rank with a single surrounding is then done.
-4. *Round LENGTH.* Only places of equal rank but different surroundings (where a match begins or
-   ends) go on: their windows are ranked whole, and the smallest document of each rank keeps it.
+3. *Round LENGTH.* Only places of equal rank but different surroundings (where a match begins or
+   ends) go on: their windows get the rank of two ranks ``HALF`` bytes apart and are dealt and sorted
+   again, and the smallest document of each rank keeps its window.
 
-Ranks are compared by fingerprints of 96 bits and more, so unequal strings of one
-rank are not to be expected at any corpus size.
+A rank is a 64-bit name of its pair rather than a dense number, so equal prefixes have equal ranks
+everywhere without a renumbering of all positions; pairs are compared by two ranks, 96 bits and more, so
+unequal strings of one rank are not to be expected at any corpus size.
 
-Scale. Texts are packed once into compressed chunks in the shared folder; nothing else holds text.
+Scale. Texts are packed once into compressed chunks in the shared folder; nothing else holds text. A
+longer document is cut into pieces, each with the windows that begin in it, and put together at the end.
 A chunk settles what it can by itself (of copies inside it, one asks), so a string that a third of
 all documents share is asked about once per chunk, not per document. Questions are dealt by rank
-into buckets of bounded size, answers return to their chunk. Shuffles that are done with are freed.
+into buckets of bounded size, answers return to their chunk. Each step is written, and its shuffle files go.
 
 Null text is empty; documents with a null id neither lose bytes nor count as smaller. Documents
 of equal id do not remove each other's bytes; each row gets a result. Empty tables give no rows.
@@ -28,9 +33,7 @@ of equal id do not remove each other's bytes; each row gets a result. Empty tabl
 
 from __future__ import annotations
 
-import gc
 import hashlib
-import time
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,57 +43,53 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from touchline.llm.common import _INV, _ODD, materialize, powers
+from touchline.llm.common import materialize, mix64
 
 LENGTH = 50
 HALF = 25
-#: Bytes of text in a chunk (a longer document is a chunk of its own).
+#: Bytes of text in a chunk, and in a piece of a longer document.
 CHUNK = 1_500_000
 #: Bytes of text whose questions share a bucket: about a million sampled places.
 BUCKET = 10_000_000
 LEAST_BUCKETS = 64
 _LOW = np.uint64(0xFFFFFFFF)
 
+#: Bytes at the end of a piece that the next one begins with, so that each window lies in one piece.
+_SHARED = LENGTH - 1
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start:long,end:long>>"
 
 
-def freed(df: DataFrame) -> DataFrame:
-    """Materialise, then let go of the shuffle files that only earlier steps needed.
-
-    Spark's cleaner removes a shuffle once the driver's JVM has collected it; the short waits let
-    the listeners drop the finished plan before, and the cleaner work after.
-    """
-    out = materialize(df)
-    for _ in range(2):
-        time.sleep(0.4)
-        gc.collect()
-        df.sparkSession._jvm.System.gc()
-    return out
+def pieces_of(raw: bytes, most: int) -> list[tuple[int, int]]:
+    """(begin, end) of the pieces of a text; all but the last share their last bytes with the next."""
+    cuts = range(most, len(raw) - _SHARED, most)
+    return [(at, end + _SHARED if end < len(raw) else end) for at, end in zip((0, *cuts), (*cuts, len(raw)), strict=True)]
 
 
 def make_chunks(docs: DataFrame, chunk_bytes: int = CHUNK) -> DataFrame:
-    """(chunk, size, blob): documents ordered by id within a chunk, as ids, null marks, lengths and bytes."""
+    """(chunk, size, blob): pieces of documents ordered by id within a chunk, as _HEAD columns and bytes."""
+    most = max(chunk_bytes, LENGTH)
 
-    def packed(key: int, rows: list[tuple[int | None, bytes]]) -> tuple[int, int, bytes]:
-        rows.sort(key=lambda r: (r[0] is None, r[0] or 0))
-        ids = np.array([r[0] or 0 for r in rows], dtype="<i8")
-        nulls = np.array([r[0] is None for r in rows], dtype="<i8")
-        sizes = np.array([len(r[1]) for r in rows], dtype="<i8")
-        raw = np.int64(len(rows)).tobytes() + ids.tobytes() + nulls.tobytes() + sizes.tobytes() + b"".join(r[1] for r in rows)
-        return key, int(sizes.sum()), zstandard.ZstdCompressor(level=3).compress(raw)
+    def packed(key: int, rows: list[tuple]) -> tuple[int, int, bytes]:
+        rows.sort(key=lambda r: (r[1], r[0], r[2], r[3]))
+        head = np.array([(*r[:-1], len(r[-1])) for r in rows], dtype="<i8").reshape(-1, len(_HEAD)).T
+        raw = np.int64(len(rows)).tobytes() + np.ascontiguousarray(head).tobytes() + b"".join(r[-1] for r in rows)
+        return key, int(head[-1].sum()), zstandard.ZstdCompressor(level=3).compress(raw)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         base, made = TaskContext.get().partitionId() << 32, 0
-        rows: list[tuple[int | None, bytes]] = []
-        held = 0
+        rows: list[tuple] = []
+        held = number = 0
         for batch in batches:
             for doc, null, text in zip(batch["doc_id"].tolist(), batch["null"].tolist(), batch["text"].tolist(), strict=True):
                 raw = (text or "").encode("utf-8", "surrogatepass")
-                if rows and held + len(raw) > chunk_bytes:
-                    yield pd.DataFrame([packed(base + made, rows)], columns=["chunk", "size", "blob"])
-                    made, rows, held = made + 1, [], 0
-                rows.append((None if null else int(doc), raw))
-                held += len(raw)
+                cut = pieces_of(raw, most)
+                for k, (s, e) in enumerate(cut):
+                    if rows and held + e - s > chunk_bytes:
+                        yield pd.DataFrame([packed(base + made, rows)], columns=["chunk", "size", "blob"])
+                        made, rows, held = made + 1, [], 0
+                    rows.append((int(doc), int(null), base + number, k if len(cut) > 1 else -1, int(k == len(cut) - 1), raw[s:e]))
+                    held += e - s
+                number += 1
         if rows:
             yield pd.DataFrame([packed(base + made, rows)], columns=["chunk", "size", "blob"])
 
@@ -98,14 +97,18 @@ def make_chunks(docs: DataFrame, chunk_bytes: int = CHUNK) -> DataFrame:
     return rows.mapInPandas(run, "chunk long, size long, blob binary")
 
 
+#: Of each piece in a chunk: its document's id (0 for null), whether that is null, the number of its row, its place in the document (-1: all of it), whether it is the last, its bytes.
+_HEAD = ("ids", "nulls", "rows", "pieces", "lasts", "sizes")
+
+
 class Chunk:
     """A chunk's documents and the ranks of its places."""
 
     def __init__(self, blob: bytes):
         raw = zstandard.ZstdDecompressor().decompress(blob)
         n = int(np.frombuffer(raw, dtype="<i8", count=1)[0])
-        self.ids, self.nulls, self.sizes = (np.frombuffer(raw, dtype="<i8", count=n, offset=8 + 8 * n * k) for k in range(3))
-        self.data = np.frombuffer(raw, dtype=np.uint8, offset=8 + 24 * n)
+        self.ids, self.nulls, self.rows, self.pieces, self.lasts, self.sizes = (np.frombuffer(raw, dtype="<i8", count=n, offset=8 + 8 * n * k) for k in range(len(_HEAD)))
+        self.data = np.frombuffer(raw, dtype=np.uint8, offset=8 + 8 * len(_HEAD) * n)
         self.ends = np.cumsum(self.sizes)
         self.starts = self.ends - self.sizes
 
@@ -113,16 +116,13 @@ class Chunk:
         """Chosen places with their windows; ranks and surroundings of the places."""
         n = len(self.data)
         with np.errstate(over="ignore"):
-            self.sums = np.zeros(n + 1, dtype=np.uint64)
-            np.cumsum((self.data.astype(np.uint64) + np.uint64(1)) * powers(_ODD, n), out=self.sums[1:])
-            self.back = powers(_INV, n + 1)
             windows = n - LENGTH + 1
             if windows <= 0:
                 self.places = self.doc = np.zeros(0, dtype=np.int64)
                 self.low = self.high = self.places
-                self.rank = self.around = np.zeros(0, dtype=np.uint64)
+                self.rank = self.around = self.ranks = np.zeros(0, dtype=np.uint64)
                 return
-            rank = self.name(np.arange(n - HALF + 1), HALF)
+            self.ranks = rank = doubled(self.data, HALF)
             key = (rank & ~_LOW) | np.arange(len(rank), dtype=np.uint64)
             width = LENGTH - HALF + 1
             least, reach = key, 1
@@ -148,13 +148,13 @@ class Chunk:
             self.rank = _spread(rank[self.places] * np.uint64(0x94D049BB133111EB))
             s = np.maximum(self.places - HALF, self.starts[self.doc])
             e = np.minimum(self.places + 2 * HALF, self.ends[self.doc])
+            # Where a document's end cuts the surroundings off, the rank there reaches into the place's own bytes.
             cut = ((self.places - s) * 64 + (e - self.places)).astype(np.uint64)
-            self.around = _spread((self.sums[e] - self.sums[s]) * self.back[s] + cut * np.uint64(0xD6E8FEB86659FD93))
+            self.around = paired(paired(rank[s], rank[e - HALF]), cut)
 
-    def name(self, at: np.ndarray, length: int) -> np.ndarray:
-        """Rank of the ``length`` bytes from each place."""
-        with np.errstate(over="ignore"):
-            return _spread((self.sums[at + length] - self.sums[at]) * self.back[at])
+    def whole(self, at: np.ndarray) -> np.ndarray:
+        """Rank of the LENGTH bytes from each place."""
+        return paired(self.ranks[at], self.ranks[at + HALF])
 
     def classes(self) -> tuple[np.ndarray, np.ndarray]:
         """(class of each place by rank and surroundings, first place of each class).
@@ -175,6 +175,27 @@ class Chunk:
         return at, np.repeat(self.doc[picked], n)
 
 
+_BYTE = mix64(np.arange(256, dtype=np.uint64), seed=17)
+
+
+def paired(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Rank of pairs of ranks."""
+    with np.errstate(over="ignore"):
+        return _spread(x * np.uint64(0x9E3779B97F4A7C15) + _spread(y))
+
+
+def doubled(data: np.ndarray, length: int) -> np.ndarray:
+    """Rank of the ``length`` bytes from every position that has as many, by prefix doubling."""
+    rank, reach = _BYTE[data], 1
+    with np.errstate(over="ignore"):
+        while reach < length:
+            offset = min(reach, length - reach)
+            # Linear with an odd factor of its own in each round; spread once, at the end.
+            factor = mix64(np.array([reach], dtype=np.uint64), seed=19) | np.uint64(1)
+            rank, reach = rank[: len(rank) - offset] + rank[offset:] * factor, reach + offset
+    return _spread(rank)
+
+
 def _spread(x: np.ndarray) -> np.ndarray:
     with np.errstate(over="ignore"):
         x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -298,7 +319,7 @@ def _open_windows(c: Chunk, number: np.ndarray, first: np.ndarray, open_: np.nda
     home = c.ids[c.doc[first]][number] if len(first) else c.doc
     picked = np.flatnonzero(is_open[number] & (c.ids[c.doc] == home)) if len(first) else number
     at, doc = c.windows_of(picked)
-    return at, doc, c.name(at, LENGTH) if len(at) else np.zeros(0, dtype=np.uint64)
+    return at, doc, c.whole(at) if len(at) else np.zeros(0, dtype=np.uint64)
 
 
 def _window_classes(c: Chunk, at: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -312,7 +333,7 @@ def _window_classes(c: Chunk, at: np.ndarray, w: np.ndarray) -> tuple[np.ndarray
 
 def remove_repeats(docs: DataFrame, chunk_bytes: int = CHUNK) -> DataFrame:
     """RESULT rows, one per row of ``docs(doc_id, text)``: what is removed and the digest of what is kept."""
-    chunks = freed(make_chunks(docs, chunk_bytes))
+    chunks = materialize(make_chunks(docs, chunk_bytes))
     total = chunks.agg(F.sum("size")).first()[0] or 0
     buckets = max(LEAST_BUCKETS, -(-total // BUCKET))
 
@@ -325,7 +346,7 @@ def remove_repeats(docs: DataFrame, chunk_bytes: int = CHUNK) -> DataFrame:
                 yield from _questions(key, buckets, c.rank[first], c.around[first], c.ids[c.doc[first]])
 
     def dealt(questions: DataFrame, mixed: bool) -> DataFrame:
-        return freed(questions.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInPandas(_settle(mixed), "chunk long, kind int, tokens binary"))
+        return materialize(questions.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInPandas(_settle(mixed), "chunk long, kind int, tokens binary"))
 
     places = dealt(chunks.mapInPandas(ask, _QUESTION), True)
 
@@ -338,7 +359,7 @@ def remove_repeats(docs: DataFrame, chunk_bytes: int = CHUNK) -> DataFrame:
                 c.sample()
                 at, doc, w = _open_windows(c, *c.classes(), _tokens(open_))
                 _, first = _window_classes(c, at, w)
-                yield from _questions(key, buckets, w[first], c.name(at[first], HALF) & _LOW, c.ids[doc[first]])
+                yield from _questions(key, buckets, w[first], c.ranks[at[first]] & _LOW, c.ids[doc[first]])
 
     windows = dealt(_told(chunks, places).mapInPandas(ask_windows, _QUESTION), False)
 
@@ -348,7 +369,9 @@ def remove_repeats(docs: DataFrame, chunk_bytes: int = CHUNK) -> DataFrame:
                 yield _result(Chunk(blob), _tokens(gone), _tokens(open_), _tokens(whole))
 
     answers = places.union(windows.select("chunk", F.lit(3).alias("kind"), "tokens"))
-    return _told(chunks, answers).mapInPandas(finish, RESULT)
+    done = materialize(_told(chunks, answers).mapInPandas(finish, _FINISHED))
+    cut = done.filter("piece >= 0").repartition("row").sortWithinPartitions("row", "piece").mapInPandas(_joined, RESULT)
+    return done.filter("piece < 0").select(*cut.columns).union(cut)
 
 
 def _result(c: Chunk, gone: np.ndarray, open_: np.ndarray, whole: np.ndarray) -> pd.DataFrame:
@@ -373,12 +396,54 @@ def _result(c: Chunk, gone: np.ndarray, open_: np.ndarray, whole: np.ndarray) ->
             np.add.at(cover, at[away] + LENGTH, -1)
     removed = np.cumsum(cover[: len(c.data)]) > 0
     rows = []
-    for doc, null, s, e in zip(c.ids.tolist(), c.nulls.tolist(), c.starts.tolist(), c.ends.tolist(), strict=True):
+    for doc, null, row, piece, last, s, e in zip(*(x.tolist() for x in (c.ids, c.nulls, c.rows, c.pieces, c.lasts, c.starts, c.ends)), strict=True):
         mask, text = removed[s:e], c.data[s:e]
-        change = np.flatnonzero(np.diff(np.concatenate(([0], mask.astype(np.int8), [0]))))
-        spans = [{"start": int(a), "end": int(b)} for a, b in zip(change[0::2], change[1::2], strict=True)]
+        if piece >= 0:
+            own = len(text) if last else len(text) - _SHARED
+            rows.append((None if null else doc, 0, 0, 0, "", [], row, piece, text[:own].tobytes(), mask.tobytes()))
+            continue
+        spans = _spans(mask)
         digest = hashlib.sha256((text[~mask] if spans else text).tobytes()).hexdigest()
-        rows.append((None if null else doc, e - s, int(mask.sum()), len(spans), digest, spans))
-    out = pd.DataFrame(rows, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans"])
+        rows.append((None if null else doc, e - s, int(mask.sum()), len(spans), digest, [{"start": a, "end": b} for a, b in spans], row, piece, None, None))
+    out = pd.DataFrame(rows, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans", "row", "piece", "own", "gone"])
     out["doc_id"] = out["doc_id"].astype("Int64")
     return out
+
+
+_FINISHED = RESULT + ", row long, piece int, own binary, gone binary"
+
+
+def _spans(mask: np.ndarray) -> list[tuple[int, int]]:
+    """Maximal runs of set places."""
+    change = np.flatnonzero(np.diff(np.concatenate(([0], mask.astype(np.int8), [0]))))
+    return [(int(a), int(b)) for a, b in zip(change[0::2], change[1::2], strict=True)]
+
+
+def _joined(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """RESULT rows of the documents whose pieces come in order; a piece at a time is held."""
+    now, doc, digest, n, lost, spans, carried = None, None, None, 0, 0, [], None
+
+    def done() -> pd.DataFrame:
+        out = pd.DataFrame([(doc, n, lost, len(spans), digest.hexdigest(), [{"start": a, "end": b} for a, b in spans])], columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans"])
+        out["doc_id"] = out["doc_id"].astype("Int64")
+        return out
+
+    for batch in batches:
+        ids = batch["doc_id"].astype("Int64").tolist()
+        for d, row, own, gone in zip(ids, batch["row"].tolist(), batch["own"].tolist(), batch["gone"].tolist(), strict=True):
+            if row != now:
+                if now is not None:
+                    yield done()
+                now, doc, digest, n, lost, spans, carried = row, None if pd.isna(d) else int(d), hashlib.sha256(), 0, 0, [], np.zeros(_SHARED, dtype=bool)
+            mask = np.frombuffer(gone, dtype=bool).copy()
+            mask[: len(carried)] |= carried[: len(mask)]
+            text, mine, carried = np.frombuffer(own, dtype=np.uint8), mask[: len(own)], mask[len(own) :]
+            digest.update(text[~mine].tobytes())
+            for a, b in _spans(mine):
+                if spans and spans[-1][1] == n + a:
+                    spans[-1] = (spans[-1][0], n + b)
+                else:
+                    spans.append((n + a, n + b))
+            n, lost = n + len(own), lost + int(mine.sum())
+    if now is not None:
+        yield done()
