@@ -33,6 +33,7 @@ def made(n_large=260, dim=16):
     other = r.normal(size=dim)
     rows += [(8000 + j, (wide + other * j / 250).tolist()) for j in range(n_large)]  # a chain that is no clique
     rows += [(9000, None), (9001, [0.0] * dim), (9002, [float("nan")] * dim), (9003, [float("inf")] + [1.0] * (dim - 1)), (9004, []), (9005, [1.0]), (9006, [None] + [1.0] * (dim - 1))]
+    rows += [(9020, [2.0]), (9021, [-2.0]), (9022, [1.0, 1.0, 0.1]), (9023, [1.0, 1.0, 0.0]), (9024, [1.0, -1.0, 0.0])]  # other dimensions are compared too
     return rows + [rows[0], rows[160], (9010, rows[160][1])]
 
 
@@ -66,3 +67,16 @@ def test_copies_and_pairs_in_a_dense_cluster(spark):
     got = result(spark, rows, window=8)
     assert sum(links.sum(axis=1) > 1) > 40
     assert got == {i: (int(links[i % 120].sum()) * copies - 1, label[i % 120], i == label[i % 120]) for i, _ in rows}
+
+
+def test_recall_in_many_dimensions(spark):
+    """Clusters of copies, near copies and pairs at the threshold among spread vectors of 64 dimensions, all by brute force."""
+    r = np.random.default_rng(11)
+    rows = [(i, r.normal(size=64).tolist()) for i in range(1200)]
+    for k in range(150):
+        c = r.normal(size=64)
+        noise = r.choice((0.0, 0.1, 0.2, 0.22))
+        rows += [(5000 + 10 * k + j, (c + r.normal(size=64) * noise).tolist()) for j in range(r.integers(2, 5))]
+    got, want = result(spark, rows), brute([i for i, _ in rows], [v for _, v in rows])
+    links = sum(n for n, _, _ in want.values())
+    assert links > 400 and sum(got[i] != want[i] for i in want) <= 0.001 * len(want)

@@ -17,8 +17,8 @@ that this does not prove are compared in blocks, so nothing is capped or sampled
 Scale. One range sort over (pass, hash) deals all passes; windows are streamed, and the windows
 that cross two partitions are compared from the partitions' edges. A task holds WINDOW + a batch.
 
-Null vectors, zero vectors and those with null or non-finite components (or another dimension than
-most) link with nothing and are groups of their own. Repeated rows of one vec_id are one vector.
+Null vectors, zero vectors and those with null or non-finite components link with nothing and are
+groups of their own; so do vectors of different dimensions, each of which is compared by itself. Repeated rows of one vec_id are one vector.
 Null vec_ids are returned with no links and a null component.
 """
 
@@ -39,8 +39,8 @@ COSINE = 0.95
 BITS = 60
 WINDOW = 128
 MISS = 1e-4
-EXACT = 200
-BLOCK = 200
+EXACT = 500
+BLOCK = 1000
 #: Members of a run of common signs that are compared as one block.
 RUN_BLOCK = 1000
 
@@ -276,25 +276,33 @@ def count_links(grouped: DataFrame, cosine: float = COSINE) -> DataFrame:
 
 
 def near_duplicate_vectors(vectors: DataFrame, cosine: float = COSINE, window: int = WINDOW) -> DataFrame:
-    """(vec_id, n_links, component_id, kept), one row per vec_id of ``vectors(vec_id, embedding)``."""
-    spark = vectors.sparkSession
+    """(vec_id, n_links, component_id, kept), one row per vec_id of ``vectors(vec_id, embedding)``.
+
+    Vectors of different dimensions have no cosine; each dimension that occurs is compared by itself.
+    """
     everyone = vectors.select(F.col("vec_id").cast("long").alias("vec_id")).distinct()
     units = materialize(unit_vectors(vectors))
-    shape = units.groupBy((F.length("unit") / 8).cast("int").alias("dim")).count().orderBy(F.desc("count"), "dim").first()
+    dims = [r[0] for r in units.select((F.length("unit") / 8).cast("int")).distinct().orderBy(1).collect()]
     plain = everyone.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), (F.col("vec_id") == F.col("vec_id")).alias("kept"))
-    if shape is None:
+    parts = [p for p in (_linked(units.filter(F.length("unit") == 8 * d), d, cosine, window) for d in dims) if p is not None]
+    if not parts:
         return plain
-    dim = shape["dim"]
-    usable = units.filter(F.length("unit") == 8 * dim)
+    links = parts[0]
+    for p in parts[1:]:
+        links = links.union(p)
+    joined = everyone.join(links, "vec_id", "left")
+    component = F.coalesce("component", "vec_id")
+    return joined.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), (F.col("vec_id") == component).alias("kept"))
+
+
+def _linked(usable: DataFrame, dim: int, cosine: float, window: int) -> DataFrame | None:
+    """(vec_id, n_links, component) of the linked ones among vectors of one dimension; None if there are none."""
     firsts = materialize(usable.groupBy("unit").agg(F.min("vec_id").alias("vec_id"), F.count("*").alias("copies")))
     copied = firsts.filter("copies > 1").select("unit", F.col("vec_id").alias("b"))
     copies = skewed_join(usable, copied, "unit", [F.col("vec_id")]).select(F.col("vec_id").alias("a"), "b").filter("a <> b")
     edges = sorted_pass_edges(firsts.select("vec_id", "unit"), firsts.count(), dim, cosine, window)
     found = materialize(connected_components(edges.union(copies)))
     if found.isEmpty():
-        return plain
+        return None
     grouped = usable.join(found.withColumnRenamed("node", "vec_id"), "vec_id")
-    links = count_links(grouped, cosine).join(found.withColumnRenamed("node", "vec_id"), "vec_id")
-    joined = everyone.join(links, "vec_id", "left")
-    component = F.coalesce("component", "vec_id")
-    return joined.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), (F.col("vec_id") == component).alias("kept"))
+    return count_links(grouped, cosine).join(found.withColumnRenamed("node", "vec_id"), "vec_id").select("vec_id", "n_links", "component")
