@@ -29,7 +29,6 @@ DOUBLES = tuple("lsrtfnmpbdgcz")
 ACRONYMS = ("ОФЛ", "ФФМ", "МФЛ", "КУП", "РМ", "ОФС")
 LOWER_WORDS = ("запад", "југ", "север", "исток", "југозапад", "југоисток", "за", "на", "и")
 CLUB_PREFIX = r"(?iu)^\s*(жфк|шфк|фк|zfk|shfk|fk)\s+"
-NBSP = " "
 
 
 def replaced(c: Column, pairs: dict[str, str]) -> Column:

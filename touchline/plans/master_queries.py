@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from touchline.functions import calendar, labels, text
-from touchline.operators import identity, incremental, masters, players, tables, views
+from touchline.operators import identity, incremental, masters, players, standings, tables, views
 from touchline.plans import analogs as a
 from touchline.plans.match_queries import longs, query
 from touchline.sources import match_pages
@@ -319,3 +319,65 @@ def entity_overrides(spark, sf_dir):
     out = masters.entity_names(n.select(F.col("n_name").alias("name")), told, ("en", "es"), countries)
     es = masters.entity_names(n.select(F.col("n_name").alias("name")), told, ("es",), clubs=clubs)
     return out.select(F.col("name").alias("n_name"), "en").join(es.select(F.col("name").alias("n_name"), "es"), "n_name")
+
+
+@query(
+    """, d AS (SELECT match_id, match_date AS a, match_date + CAST(match_id % 40 AS INT) AS b, match_date - 3650 AS birth FROM matches)
+SELECT match_id, CASE WHEN match_id % 5 = 0 THEN NULL ELSE a END AS parsed, CASE WHEN match_id % 5 = 0 THEN NULL WHEN match_id % 3 = 0 THEN CAST(a AS TIMESTAMP) ELSE CAST(a AS TIMESTAMP) + INTERVAL 1110 MINUTE END AS kick_off,
+  CAST(floor((a - birth) / 365.25) AS BIGINT) AS age, (month(a) BETWEEN 6 AND 9 OR month(b) BETWEEN 6 AND 9 OR (month(a) IN (11, 12, 1, 2) AND month(b) IN (11, 12, 1, 2))) AS moving,
+  CAST(CASE WHEN month(b) IN (6, 7) THEN 60 ELSE 15 END AS BIGINT) AS threshold, CAST(CASE WHEN b > a + 5 THEN b - (a + 5) ELSE greatest(a, b) - least(a + 5, b + 9) END AS BIGINT) AS gap,
+  CASE WHEN match_id % 2 = 0 THEN lpad(CAST((year(a) - 1) % 100 AS VARCHAR), 2, '0') || '/' || lpad(CAST(year(a) % 100 AS VARCHAR), 2, '0') ELSE CAST(year(a) AS VARCHAR) || '/' || lpad(CAST((year(a) + 1) % 100 AS VARCHAR), 2, '0') END AS season FROM d"""
+)
+def calendar_functions(spark, sf_dir):
+    """Dates and times of day from text, ages, transfer windows, gaps of intervals and seasons of play-offs."""
+    k, day = F.col("match_id"), F.col("match_date")
+    later = F.date_add(day, (k % 40).cast("int"))
+    text_day = F.when(k % 5 == 0, "31.02.2001").otherwise(F.date_format(day, "dd.MM.yyyy"))
+    label = F.concat(F.year(day).cast("string"), F.lit("/"), F.lpad(F.pmod(F.year(day) + 1, F.lit(100)).cast("string"), 2, "0"))
+    rows = a.matches(spark, sf_dir).select(
+        "match_id", calendar.parse_date(text_day).alias("parsed"), calendar.kick_off(text_day, F.when(k % 3 == 0, "later").otherwise("18:30")).cast("timestamp_ntz").alias("kick_off"),
+        calendar.age_on(F.date_sub(day, 3650), day).alias("age"), calendar.in_transfer_window(day, later).alias("moving"), calendar.gap_threshold(later).alias("threshold"),
+        calendar.interval_gap(day, F.date_add(day, 5), later, F.date_add(later, 9)).alias("gap"), calendar.play_off_season(F.when(k % 2 == 0, "Бараж за Прва").otherwise("Прва"), label).alias("season"),
+    )
+    return longs(rows, "age", "threshold", "gap")
+
+
+#: Text functions, an input and what comes of it.
+TEXTS = (
+    (text.cyrillic_to_latin, "марија ѓорѓиева-џ", "Marija Gjorgjieva-Dž"), (text.standard_name, "Shkendija", "Шкендија"), (text.standard_name, "Ана", "Ана"), (text.strip_parenthesis, "Ana (Skopje) ", "Ana"),
+    (text.group_label, "Liga (Istok)", "Istok"), (text.quiet_capitals, "ПРВА лига (куп) НА СЕВЕР", "Прва Лига (КУП) на север"), (text.note_lines, "a\\n\\nb", "a\nb"), (text.club_key, "ЖФК  Тиверија", "тиверија"),
+    (text.last_word_first, "Popova Ana", "Ana Popova"), (text.distinct_words, "a b a c b", "a b c"), (calendar.strip_season, "Liga 2025/26", "Liga"), (calendar.long_season, "Liga 25/26", "Liga 2025/26"),
+    (labels.official_role, "2. помошен судија", "referee_asst2"), (labels.category, "помали петлиња", "Помали петлиња"), (labels.division, "Втора мфл", "Втора МФЛ"),
+)
+
+
+@query(
+    "SELECT match_id % " + str(len(TEXTS)) + " AS k, CASE match_id % " + str(len(TEXTS)) + " " + " ".join(f"WHEN {i} THEN '{out}'" for i, (_, _, out) in enumerate(TEXTS)) + " END AS text, count(*) AS n FROM matches GROUP BY ALL"
+)
+def text_functions(spark, sf_dir):
+    k = F.col("match_id") % len(TEXTS)
+    given, found = F.lit(None).cast("string"), F.lit(None).cast("string")
+    for i, (function, value, _) in enumerate(TEXTS):
+        given = F.when(k == i, value).otherwise(given)
+        found = F.when(k == i, function(F.col("given"))).otherwise(found)
+    rows = a.matches(spark, sf_dir).withColumn("given", given)
+    return rows.groupBy(k.alias("k"), found.alias("text")).agg(F.count("*").alias("n"))
+
+
+@query(
+    """, r AS (SELECT DISTINCT competition || ' 25/26' AS competition, from_round, club FROM rules)
+SELECT DISTINCT m.match_id FROM matches m JOIN r ON contains(lower(r.competition), lower(m.competition)) AND (m.home = r.club OR m.away = r.club) AND m.round >= r.from_round"""
+)
+def rules_by_containment(spark, sf_dir):
+    rules = a.rules(spark, sf_dir).withColumn("competition", F.concat("competition", F.lit(" 25/26")))
+    return standings.withdrawn_matches(a.matches(spark, sf_dir), rules, containment=True)
+
+
+@query(
+    """, s AS (SELECT *, count(*) OVER (PARTITION BY match_id, team) AS n, row_number() OVER (PARTITION BY match_id, team ORDER BY shirt, player_id) AS rn FROM appearances WHERE starter)
+SELECT match_id, team, player_id FROM s WHERE rn = 1"""
+)
+def first_starters(spark, sf_dir):
+    """The starter of the lowest shirt of each side, who keeps the goal unless a list says otherwise."""
+    rows = a.appearances(spark, sf_dir).filter("starter")
+    return tables.first_rows(rows, ["match_id", "team"], tables.ordering("shirt", "player_id")).select("match_id", "team", "player_id")
