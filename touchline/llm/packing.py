@@ -40,21 +40,25 @@ _PLAIN = bytes(c for c in range(256) if c in b"\t\n\r" or 0x20 <= c <= 0x7E or c
 _TOKEN = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zÀ-ÿ]+|[0-9]|[^\sa-z0-9À-ÿ]+")
 
 
+def _pretokens(word: str) -> list[str]:
+    """Pre-tokens of a lower-case word of plain characters."""
+    if word.isalpha():
+        return [word]
+    if word[:-1].isalpha() and not word[-1].isalnum():
+        return [word[:-1], word[-1]]
+    return _TOKEN.findall(word)
+
+
 class _Lookup(dict):
-    """Values by key; what is asked for in vain is noted in ``missed`` and counts as nothing."""
+    """Values by key; what is asked for in vain gets an empty place, which is noted in ``missed`` to be filled."""
 
     def __init__(self):
         super().__init__()
-        self.missed: set[str] = set()
-        self.vain = False
+        self.missed: dict[str, bytearray] = {}
 
-    def __missing__(self, key: str) -> bytes:
-        self.missed.add(key)
-        self.vain = True
-        return b""
-
-    def joined(self, keys: list[str]) -> bytes:
-        return b"".join(map(self.__getitem__, keys))
+    def __missing__(self, key: str) -> bytearray:
+        value = self[key] = self.missed[key] = bytearray()
+        return value
 
 
 class WordCodec:
@@ -68,11 +72,16 @@ class WordCodec:
     """
 
     def __init__(self, path: str, keep: int = 500_000):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self._tokenizer = Tokenizer.from_file(path)
+        # The same merges for pre-tokens that are normalised and set apart by blanks already.
+        self._merger = Tokenizer.from_file(path)
+        self._merger.normalizer = normalizers.Sequence([])
+        self._merger.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         self._keep = keep
-        self._tokens, self._words = _Lookup(), _Lookup()
+        self._words = _Lookup()
+        self._tokens: dict[str, bytes] = {}
         self._specials = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
         vocabulary = self._tokenizer.get_vocab()
         self._ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
@@ -92,39 +101,32 @@ class WordCodec:
         return not other and not any(s in text for s in self._specials)
 
     def _learn(self) -> None:
-        """Put the missed words' ids together."""
-        split = {w: _TOKEN.findall(w) for w in self._words.missed}
-        new = list({t for found in split.values() for t in found if t not in self._tokens})
-        for at in range(0, len(new), 5000):
-            part = new[at : at + 5000]
-            ids = self._ids(" ".join(part))
-            cuts = np.flatnonzero(self._ends[ids]) + 1
+        """Fill the places of the missed words."""
+        split = [(place, _pretokens(word)) for word, place in self._words.missed.items()]
+        known = self._tokens
+        new = list({t for _, found in split for t in found if t not in known})
+        for at in range(0, len(new), 20_000):
+            part = new[at : at + 20_000]
+            ids = np.asarray(self._merger.encode(" ".join(part), add_special_tokens=False).ids, dtype="<u4")
+            cuts = (4 * (np.flatnonzero(self._ends[ids]) + 1)).tolist()
             if len(cuts) == len(part):
-                pieces = [p.tobytes() for p in np.split(ids, cuts[:-1])]
+                raw = ids.tobytes()
+                known.update(zip(part, [raw[s:e] for s, e in zip([0, *cuts], cuts, strict=False)], strict=True))
             else:
-                pieces = [self.whole(t) for t in part]
-            self._tokens.update(zip(part, pieces, strict=True))
-        self._words.update((w, self._tokens.joined(found)) for w, found in split.items())
+                known.update((t, self.whole(t)) for t in part)
+        for place, found in split:
+            for t in found:
+                place += known[t]
         self._words.missed.clear()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         for known in (self._words, self._tokens):
             if len(known) > self._keep:
                 known.clear()
-        out, again = [], []
-        for i, text in enumerate(texts):
-            if not self._plain(text):
-                out.append(self.whole(text))
-                continue
-            self._words.vain = False
-            out.append(self._words.joined(text.lower().split()))
-            if self._words.vain:
-                again.append(i)
-        if again:
-            self._learn()
-            for i in again:
-                out[i] = self._words.joined(texts[i].lower().split())
-        return out
+        look = self._words.__getitem__
+        parts = [list(map(look, text.lower().split())) if self._plain(text) else [self.whole(text)] for text in texts]
+        self._learn()
+        return [b"".join(p) for p in parts]
 
 
 @lru_cache(maxsize=2)
