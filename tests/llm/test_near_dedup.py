@@ -1,7 +1,6 @@
 import itertools
 import random
 import re
-from collections import Counter
 
 import numpy as np
 

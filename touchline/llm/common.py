@@ -12,8 +12,6 @@ from pyspark.sql import functions as F
 #: Number of salts used wherever one key may hold a large share of all rows.
 SALTS = 32
 
-DOC_SCHEMA = "doc_id long, text string"
-
 
 def shared_dir(spark: SparkSession) -> str:
     """Folder shared by driver and executors: ``spark.checkpoint.dir``.
@@ -33,13 +31,20 @@ def shared_dir(spark: SparkSession) -> str:
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def materialize(df: DataFrame) -> DataFrame:
+#: Files per core of a written table of narrow rows.
+NARROW_FILES = 4
+
+
+def materialize(df: DataFrame, narrow: bool = False) -> DataFrame:
     """Cut lineage: write ``df`` as Parquet in the shared folder and read it back.
 
     A lost executor never forces recomputation past this point, a column that is not needed later
-    is not read again, and the shuffle files of the steps before are removed.
+    is not read again, and the shuffle files of the steps before are removed. ``narrow``: rows of a few
+    numbers, which go to at most ``NARROW_FILES`` files per core instead of one per shuffle partition.
     """
     spark = df.sparkSession
+    if narrow:
+        df = df.coalesce(NARROW_FILES * spark.sparkContext.defaultParallelism)
     path = f"{shared_dir(spark)}/touchline-{uuid.uuid4().hex}"
     before = spark.conf.get(_CLEANUP, "false")
     spark.conf.set(_CLEANUP, "true")
@@ -93,7 +98,7 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         single = ranked.select(F.when(other, F.col("b")).otherwise(F.col("a")).alias("a"), F.col("least").alias("b"), other.alias("moved"))
         up = single.groupBy(F.col("a").alias("b")).agg(F.min("b").alias("up"))
         jumped = skewed_join(single, up, "b", [F.col("a")], "left")
-        current = materialize(jumped.select("a", F.coalesce("up", "b").alias("b"), (F.col("moved") | F.col("up").isNotNull()).alias("moved")))
+        current = materialize(jumped.select("a", F.coalesce("up", "b").alias("b"), (F.col("moved") | F.col("up").isNotNull()).alias("moved")), narrow=True)
         if current.filter("moved").isEmpty():
             break
     else:

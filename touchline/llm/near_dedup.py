@@ -21,7 +21,8 @@ length in one bucket.
 
 Null and empty texts are equal texts. Texts of fewer than five words have one shingle, all their
 words. Rows with a null doc_id are left out of the grouping. Repeated rows give repeated results; a
-doc_id with several texts is one document, linked by any of them.
+doc_id with several texts has a row, and a class, for each of them, and ``keep_one`` drops it if any is a
+later copy.
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from touchline.llm.common import Words, batches_by_size, connected_components, grams, materialize, mix64, salt_of, skewed_join
+from touchline.llm.common import Words, batches_by_size, connected_components, grams, materialize, mix64, skewed_join
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -190,28 +191,18 @@ def aligned(a: np.ndarray, b: np.ndarray, similarity: float = SIMILARITY) -> boo
 def verify(pairs: DataFrame, seqs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """The pairs (a, b) of distinct documents whose alignment reaches ``similarity``; ``seqs(rep, seq)``.
 
-    ``b`` may be a hub of many pairs: its rows are dealt over salts and its sequence goes once to
-    each salt in use; a task streams, hub first.
+    ``b`` may be a hub of many pairs: it comes last, in ``skewed_join``.
     """
-    pairs = pairs.withColumn("_chunk", salt_of(F.col("a")))
-    members = pairs.join(seqs.withColumnRenamed("rep", "a").hint("merge"), "a").select("b", "_chunk", "a", "seq")
-    hubs = pairs.select("b", "_chunk").distinct().join(seqs.withColumnRenamed("rep", "b").hint("merge"), "b")
-    rows = hubs.select("b", "_chunk", F.lit(None).cast("long").alias("a"), "seq").union(members)
+    one = pairs.join(seqs.select(F.col("rep").alias("a"), F.col("seq").alias("seq_a")).hint("merge"), "a")
+    both = skewed_join(one, seqs.select(F.col("rep").alias("b"), F.col("seq").alias("seq_b")), "b", [F.col("a")])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hubs, whose = [], None
         for batch in batches:
-            found = []
-            for b, chunk, a, seq in zip(batch["b"].tolist(), batch["_chunk"].tolist(), batch["a"].tolist(), batch["seq"].tolist(), strict=True):
-                own = np.frombuffer(seq, dtype="<u4")
-                if a is None or a != a:
-                    hubs, whose = [*(hubs if whose == (b, chunk) else []), own], (b, chunk)
-                elif whose == (b, chunk) and any(aligned(own, hub, similarity) for hub in hubs):
-                    found.append((int(a), b))
+            rows = zip(batch["a"].tolist(), batch["b"].tolist(), batch["seq_a"].tolist(), batch["seq_b"].tolist(), strict=True)
+            found = [(a, b) for a, b, x, y in rows if aligned(np.frombuffer(x, dtype="<u4"), np.frombuffer(y, dtype="<u4"), similarity)]
             yield pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
-    dealt = rows.repartition("b", "_chunk").sortWithinPartitions("b", "_chunk", F.col("a").asc_nulls_first())
-    return dealt.mapInPandas(run, "a long, b long")
+    return both.select("a", "b", "seq_a", "seq_b").mapInPandas(run, "a long, b long")
 
 
 def _crowded(keyed: DataFrame) -> DataFrame:
@@ -280,7 +271,7 @@ def rest(named: DataFrame, seqs: DataFrame, similarity: float = SIMILARITY) -> D
     step = math.log(1.01 / similarity)
     level = F.floor(F.log(F.col("n").cast("double")) / step).cast("int")
     rows = skewed_join(named, mixed.select("key"), "key", [F.col("rep")])
-    rows = materialize(rows.select("key", "rep", "component", level.alias("level"), F.struct("key", level.alias("level"), "component").alias("cell")))
+    rows = materialize(rows.select("key", "rep", "component", level.alias("level"), F.struct("key", level.alias("level"), "component").alias("cell")), narrow=True)
     # The longest text of a level decides how many make a block. Components of more than a block have blocks of their own.
     most = F.least(F.lit(float(BLOCK)), F.greatest(F.lit(1.0), BLOCK_WORDS / F.exp((F.col("level") + 1) * step)))
     cells = rows.groupBy("cell").agg(F.count("*").alias("m")).select("cell", "m", "cell.key", "cell.level")
@@ -289,7 +280,7 @@ def rest(named: DataFrame, seqs: DataFrame, similarity: float = SIMILARITY) -> D
     dealt = skewed_join(rows, cells, "cell", [F.col("rep")])
     own = F.when(F.col("m").isNotNull(), F.col("component"))
     part = F.pmod(F.xxhash64("rep"), F.ceil(F.coalesce("m", "total") / most))
-    members = materialize(dealt.select("key", "level", F.xxhash64(own, part).alias("block"), "rep", "component", own.alias("own")))
+    members = materialize(dealt.select("key", "level", F.xxhash64(own, part).alias("block"), "rep", "component", own.alias("own")), narrow=True)
 
     blocks = members.groupBy("key", "level", "block").agg(F.first("own").alias("own"), F.min("component").alias("lo"), F.max("component").alias("hi"))
     one = blocks.select("key", F.col("level").alias("at"), *[F.col(c).alias(f"{c}_1") for c in ("level", "block", "own", "lo", "hi")])
@@ -340,10 +331,10 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     rows = skewed_join(drawn.select("doc_id", F.struct("f1", "f2").alias("f")), copied, "f", [F.col("doc_id")], "left").select("doc_id", F.coalesce("rep", "doc_id").alias("exact_id"))
     keyed = classes.filter("n > 0").select("rep", "n", F.posexplode("sketch").alias("j", "s")).select("rep", "n", F.xxhash64("j", "s").alias("key"))
     # Buckets of one member never matter again.
-    buckets = materialize(_crowded(keyed))
+    buckets = materialize(_crowded(keyed), narrow=True)
     seqs = classes.select("rep", "seq")
     pairs = buckets.filter("rep <> top").select(F.col("rep").alias("a"), F.col("top").alias("b")).distinct()
-    found = materialize(verify(pairs, seqs, similarity))
+    found = materialize(verify(pairs, seqs, similarity), narrow=True)
     near = connected_components(found)
     named = buckets.select("key", "rep", "n").join(near.withColumnRenamed("node", "rep").hint("merge"), "rep", "left")
     left = materialize(rest(named.withColumn("component", F.coalesce("component", "rep")), seqs, similarity))
